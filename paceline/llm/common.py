@@ -54,3 +54,14 @@ def text_partitions(docs: DataFrame, chars: int = 8_000_000) -> int:
     """How many partitions hold about `chars` characters of text each."""
     total = docs.agg(F.sum(F.length("text")).alias("n")).first().n or 0
     return max(1, -(-int(total) // chars))
+
+
+#: Ids that a broadcast join takes (some 16 bytes each); more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
+
+
+def only_ids(rows: DataFrame, columns: list[str], ids: DataFrame, how: str = "left_semi") -> DataFrame:
+    """rows whose columns are (left_semi) or are not (left_anti) among ids. ids are broadcast only if they are counted and
+    few; reading them again must be cheap."""
+    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return rows.join(F.broadcast(ids) if few else ids, columns, how)

@@ -16,12 +16,25 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_classifier_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paceline.llm.toxicity import CATEGORIES, fit, score
+
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, fit(docs, table(spark, sf_dir, "labels"), CATEGORIES))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from paceline.llm.secrets import digest
 
     return digest(table(spark, sf_dir, "documents"))
 
 
+def op3_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paceline.llm.lattice_lm import likelihood
+
+    return likelihood(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op4_anisotropic_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     from paceline.llm.ann import nearest
 
@@ -34,6 +47,12 @@ def op5_packed_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_shards(write_shards(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=2))
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paceline.llm.minhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
 def op7_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from paceline.llm.mixing import mix, tempered
 
@@ -53,6 +72,12 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=2, length=1024)
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paceline.llm.suffix_dedup import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"), length=400)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
