@@ -2,7 +2,7 @@
 
 The tokenizers split a text into words before they merge anything, and no token crosses such a split. A text is cut at
 places that are certain to be splits, each distinct chunk is encoded once by the library, and a text's ids are the
-concatenation of its chunks' ids. The memo is bounded: two generations of at most `limit` chunks each.
+concatenation of its chunks' ids. A memo is bounded: two generations of at most `limit` chunks each, and as many words.
 """
 
 from __future__ import annotations
@@ -19,8 +19,9 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SPACED_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-#: After this many distinct chunks the younger generation replaces the older one.
-MEMO_LIMIT = 400_000
+#: After this many distinct chunks the younger generation of a memo replaces the older one; some 200 bytes for each. The
+#: memo of words behind a space, and that of words at the beginning of a line.
+MEMO_LIMIT, SPACED_LIMIT, PLAIN_LIMIT = 400_000, 220_000, 60_000
 
 
 def _byte_characters() -> dict[int, str]:
@@ -101,7 +102,7 @@ class ByteEncoder:
     _cut = re.compile(r"(?<=\S)(?=[ \n]\S)|(?<=\S\n)(?=\S)")
 
     def __init__(self, tokenizer):
-        self.plain, self.spaced = Memo(tokenizer, SPACED_WORDS, False), Memo(tokenizer, SPACED_WORDS, False, " ")
+        self.plain, self.spaced = Memo(tokenizer, SPACED_WORDS, False, "", PLAIN_LIMIT), Memo(tokenizer, SPACED_WORDS, False, " ", SPACED_LIMIT)
         self.newline = self.plain["\n"]
 
     def encode(self, texts: list[str]) -> list[bytes]:

@@ -23,11 +23,11 @@ from pyspark.sql import functions as F
 from paceline.llm.common import id_and_text, materialize
 
 #: Labelled rows that the chain is fitted on, at most: those of the least hashes of doc_id. Features for each category.
-SAMPLE, FEATURES, FOLDS, STEPS, RIDGE = 8000, 1200, 3, 250, 0.3
+SAMPLE, FEATURES, FOLDS, STEPS, RIDGE = 8000, 600, 3, 200, 0.3
 #: Lengths of the word beginnings that count as features, besides whole words.
 BEGINNINGS = (4, 5, 6)
 #: A document is rejected from this probability of the last category on.
-THRESHOLD = 0.5
+THRESHOLD = 0.3
 
 _word = re.compile(r"[^\W\d_]+").findall
 
