@@ -159,12 +159,12 @@ def _telling(found: list[set[str]], y: np.ndarray, n: int) -> list[str]:
 
 
 def fit_chain(texts: list[str], labels: dict[str, np.ndarray], features: int = FEATURES, folds: int = FOLDS, steps: int = STEPS, ridge: float = RIDGE) -> Chain:
-    """labels: 0 and 1 of each category, in the chain's order. Without rows every probability is one half."""
+    """labels: 0 and 1 of each category, in the chain's order. Without rows every probability is nearly 0."""
     found = [features_of(t) for t in texts]
     names = sorted({f for y in labels.values() for f in _telling(found, y, features)})
     chain = Chain(list(labels), {f: i for i, f in enumerate(names)}, [])
     if not texts:
-        chain.models = [(np.zeros(0), np.zeros(k + 1)) for k in range(len(labels))]
+        chain.models = [(np.zeros(0), np.append(np.zeros(k), -35.0)) for k in range(len(labels))]
         return chain
     x = chain.rows([sorted(chain.vocabulary[f] for f in fs if f in chain.vocabulary) for fs in found])
     fold = np.arange(len(texts)) % folds
