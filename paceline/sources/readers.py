@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import fnmatch
 import json
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -99,8 +100,8 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 def files(spark: SparkSession, root: str, pattern: str = "*", max_depth: int | None = None) -> DataFrame:
     """path, size_mb, sha256 of the files under a folder: contents are hashed by the executors."""
     df = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
-    base = F.lit(root.rstrip("/").split(":", 1)[-1].replace("//", ""))
-    deep = F.size(F.split(F.regexp_replace(F.substring_index("path", base, -1), "^/", ""), "/")) - 1
+    base = root.split(":", 1)[-1].strip("/")
+    deep = F.size(F.split(F.element_at(F.split("path", re.escape(base), 2), -1), "/")) - 2
     df = df if max_depth is None else df.where(deep <= max_depth)
     return df.select("path", (F.col("length") / (1 << 20)).alias("size_mb"), F.sha2("content", 256).alias("sha256"))
 
