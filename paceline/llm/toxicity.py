@@ -11,7 +11,6 @@ Fitting takes a bounded sample of labelled rows; scoring reads every whole text
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -40,8 +39,22 @@ def features_of_word(word: str) -> list[str]:
     return [f"={word}", *[word[:n] for n in BEGINNINGS if len(word) > n]]
 
 
-def features_of(text: str) -> set[str]:
-    return {f for w in words_of(text) for f in features_of_word(w)}
+class Numbered:
+    """Features as numbers, given out as they are met; a word's features are worked out once."""
+
+    def __init__(self):
+        self.numbers: dict[str, int] = {}
+        self.words: dict[str, tuple[int, ...]] = {}
+
+    def __call__(self, text: str) -> np.ndarray:
+        """The features of a text, ascending."""
+        found: set[int] = set()
+        for w in words_of(text):
+            of = self.words.get(w)
+            if of is None:
+                of = self.words[w] = tuple([self.numbers.setdefault(f, len(self.numbers)) for f in features_of_word(w)])
+            found.update(of)
+        return np.array(sorted(found), np.int32)
 
 
 @dataclass
@@ -135,38 +148,36 @@ def _known(chain: Chain) -> _Known:
     return _caches[key]
 
 
-def _telling(found: list[set[str]], y: np.ndarray, n: int) -> list[str]:
-    """The n features whose presence tells most about y: the largest signed square root of the likelihood ratio, ties by
-    name."""
-    inside, outside = Counter(), Counter()
-    for f, k in zip(found, y, strict=True):
-        (inside if k else outside).update(f)
-    total, ones = len(y), y.sum()
-    names = [f for f in inside.keys() | outside.keys() if inside[f] + outside[f] > 1]
+def _telling(found: list[np.ndarray], names: list[str], y: np.ndarray, n: int) -> list[str]:
+    """The n features whose presence tells most about y, by the likelihood ratio; ties by name."""
+    total, ones = len(y), int(y.sum())
     if not names or not 0 < ones < total:
         return []
-    a = np.array([inside[f] for f in names], float)
-    b = np.array([outside[f] for f in names], float)
-    share = ones / total
-    seen = a + b
+    count = lambda k: np.bincount(np.concatenate([f for f, v in zip(found, y, strict=True) if v == k]), minlength=len(names)).astype(float)
+    a, b = count(1), count(0)
+    seen, share = a + b, ones / total
 
-    def part(k: np.ndarray, of: np.ndarray, p: float) -> np.ndarray:
-        return np.where(k > 0, k * np.log(np.maximum(k, 1e-9) / (of * p)), 0)
+    def part(k: np.ndarray, p: float) -> np.ndarray:
+        return np.where(k > 0, k * np.log(np.maximum(k, 1e-9) / np.maximum(seen * p, 1e-9)), 0)
 
-    ratio = part(a, seen, share) + part(b, seen, 1 - share)
-    order = sorted(range(len(names)), key=lambda i: (-ratio[i], names[i]))
-    return [names[i] for i in order[:n]]
+    ratio = np.where(seen > 1, part(a, share) + part(b, 1 - share), -1)
+    best = np.flatnonzero(ratio >= max(0, np.partition(ratio, -min(n, len(ratio)))[-min(n, len(ratio))]))
+    return [names[i] for i in sorted(best.tolist(), key=lambda i: (-ratio[i], names[i]))[:n]]
 
 
 def fit_chain(texts: list[str], labels: dict[str, np.ndarray], features: int = FEATURES, folds: int = FOLDS, steps: int = STEPS, ridge: float = RIDGE) -> Chain:
     """labels: 0 and 1 of each category, in the chain's order. Without rows every probability is nearly 0."""
-    found = [features_of(t) for t in texts]
-    names = sorted({f for y in labels.values() for f in _telling(found, y, features)})
+    numbered = Numbered()
+    found = [numbered(t) for t in texts]
+    listed = list(numbered.numbers)
+    names = sorted({f for y in labels.values() for f in _telling(found, listed, y, features)})
     chain = Chain(list(labels), {f: i for i, f in enumerate(names)}, [])
     if not texts:
         chain.models = [(np.zeros(0), np.append(np.zeros(k), -35.0)) for k in range(len(labels))]
         return chain
-    x = chain.rows([sorted(chain.vocabulary[f] for f in fs if f in chain.vocabulary) for fs in found])
+    place = np.array([chain.vocabulary.get(f, -1) for f in listed], np.int64)
+    x = chain.rows([sorted(i for i in place[f].tolist() if i >= 0) for f in found])
+    del numbered, found, listed
     fold = np.arange(len(texts)) % folds
     out_of_fold = np.zeros((len(texts), 0))
     for y in labels.values():
