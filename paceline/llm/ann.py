@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paceline.llm.common import materialize
+from paceline.llm.common import hashed_sample, materialize
 from paceline.llm.vectors import DATA_BLOCK, blocks, common_length, numbered_queries, paired, valid_vectors
 
 #: Vectors that the codewords are fitted on, at most; rounds of fitting; score threshold of the loss; reranked for each query.
@@ -106,9 +106,9 @@ class Codebook:
         return (t[:, 1::2, :, None] + t[:, 0::2, None, :]).reshape(len(queries), -1, 256).astype(np.float32)
 
 
-def fit_sample(rows: DataFrame, dim: int, sample: int = SAMPLE) -> np.ndarray:
-    """At most `sample` vectors: those of the least hashes of their ids, repeated rows once."""
-    kept = rows.select("vec_id", "v").withColumn("h", F.xxhash64("vec_id")).orderBy("h", "vec_id").limit(sample)
+def fit_sample(rows: DataFrame, dim: int, total: int, sample: int = SAMPLE) -> np.ndarray:
+    """At most `sample` vectors, chosen by hashes of their ids."""
+    kept = hashed_sample(rows.select("vec_id", "v"), "vec_id", sample, total)
     return np.array([r.v for r in kept.select("v").collect()], dtype=np.float64).reshape(-1, dim)
 
 
@@ -172,14 +172,14 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100, depth: int = DEPT
     no part. Codewords are fitted on at most `sample` vectors; every vector is indexed and scanned. Repeated queries count
     once. `depth` is what the scan hands on for each query: the index's recall rises with it."""
     rows = valid_vectors(vectors, id_col, vector_col, zero=False)
-    dim = common_length(rows)
+    dim, total = common_length(rows)
     if not dim:
         return rows.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0.0).alias("score")).limit(0)
     rows = rows.where(F.size("v") == dim)
-    book = Codebook.fit(fit_sample(rows, dim, sample))
+    book = Codebook.fit(fit_sample(rows, dim, total, sample))
     queries, n = numbered_queries(rows, dim, every)
     depth = max(depth, k)
-    scanned = paired(build_index(rows, dim, book, block), queries, n).select("q", "qids", "qv", "ids", "codes", "half").mapInArrow(_scan(book, dim, depth), "query_id long, vec_id long, rough double")
+    scanned = paired(build_index(rows, dim, book, block), queries, n, total).select("q", "qids", "qv", "ids", "codes", "half").mapInArrow(_scan(book, dim, depth), "query_id long, vec_id long, rough double")
     rough = Window.partitionBy("query_id").orderBy(F.desc("rough"), "vec_id")
     kept = materialize(scanned.withColumn("n", F.row_number().over(rough)).where(F.col("n") <= depth).select("query_id", "vec_id").distinct(), "candidates")
     asked = rows.where(F.pmod(F.col("vec_id"), F.lit(every)) == 0).dropDuplicates(["vec_id", "v"]).select(F.col("vec_id").alias("query_id"), F.col("v").alias("qv"))

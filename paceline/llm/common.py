@@ -65,3 +65,12 @@ def only_ids(rows: DataFrame, columns: list[str], ids: DataFrame, how: str = "le
     few; reading them again must be cheap."""
     few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     return rows.join(F.broadcast(ids) if few else ids, columns, how)
+
+
+def hashed_sample(rows: DataFrame, key: str, n: int, total: int) -> DataFrame:
+    """At most n rows, one for each key at most: those of the least hashes of the key among a share of the hashes that holds
+    some 2 n of `total` rows. So what meets in one place stays near 2 n rows however many partitions there are."""
+    h = F.xxhash64(key)
+    if total > 4 * n:
+        rows = rows.where(F.pmod(h, F.lit(1 << 40)) < (1 << 40) * 2 * n // total)
+    return rows.dropDuplicates([key]).withColumn("__h", h).orderBy("__h", key).limit(n)

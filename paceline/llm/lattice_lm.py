@@ -166,6 +166,17 @@ def _with_log(words: DataFrame, pieces: Pieces) -> DataFrame:
     return words.select("word", "n").mapInArrow(run, "word string, n long, lp double")
 
 
+def _most_frequent(known: DataFrame, most: int) -> DataFrame:
+    """At most `most` words, those from some count on, found from a histogram of counts in steps of a sixteenth of an octave."""
+    step = F.floor(F.log2(F.col("n") + 1.0) * 16)
+    left, cut = most, None
+    for r in sorted(known.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("k")).collect(), reverse=True):  # some hundreds
+        if r.k > left:
+            break
+        left, cut = left - r.k, r.step
+    return known.where(step >= cut) if cut is not None else known.limit(0)
+
+
 def likelihood(docs: DataFrame, model: str, frequent: int = FREQUENT) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, pieces_per_word... for each row of docs.
 
@@ -183,7 +194,7 @@ def likelihood(docs: DataFrame, model: str, frequent: int = FREQUENT) -> DataFra
     known = materialize(_with_log(words, pieces), "known")
     divisor = math.log10(tokens + distinct + 1)
 
-    top = known.orderBy(F.desc("n"), "word").limit(frequent).toPandas()
+    top = _most_frequent(known, frequent).toPandas()
     shared = spark.sparkContext.broadcast((  # at most `frequent` words
         [w.encode() for w in top["word"]],
         np.log10(top["n"].to_numpy(np.float64) + 1) - divisor,

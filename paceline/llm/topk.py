@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paceline.llm.common import materialize
+from paceline.llm.common import hashed_sample, materialize
 from paceline.llm.vectors import DATA_BLOCK, blocks, common_length, numbered_queries, paired, valid_vectors
 
 #: Dimensions that are added before candidates are compacted; query blocks whose best are held at once.
@@ -111,7 +111,7 @@ def exact_top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: float
     component beyond LARGEST after scaling take no part. Repeated queries count once, repeated candidates each."""
     whole = F.forall("v", lambda x: F.abs(F.floor(x * F.lit(scale)).cast("double")) <= LARGEST)
     rows = valid_vectors(vectors, id_col, vector_col, zero=True).where(F.forall("v", lambda x: F.abs(x * F.lit(scale)) < LARGEST) & whole)
-    dim = common_length(rows)
+    dim, total = common_length(rows)
     if not dim:
         return rows.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0).cast("long").alias("score")).limit(0)
     rows = rows.where(F.size("v") == dim)
@@ -119,12 +119,13 @@ def exact_top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: float
     queries = materialize(queries, "queries")
     data = blocks(rows, dim, block)
     run, schema = _scan(k, dim, scale), "query_id long, score long, vec_id long"
-    first = materialize(data.orderBy("block").limit(1), "first")
+    # Bounds to begin with: each query's k-th best among a block of vectors, whichever.
+    first = materialize(blocks(hashed_sample(rows, "vec_id", DATA_BLOCK, total).repartition(1), dim, DATA_BLOCK), "first")
     columns = ["q", "qids", "qv", "bounds", "ids", "v"]
-    tried = paired(first, queries, n).withColumn("bounds", F.lit(None).cast("binary")).select(*columns).mapInArrow(run, schema)
+    tried = paired(first, queries, n, 1).withColumn("bounds", F.lit(None).cast("binary")).select(*columns).mapInArrow(run, schema)
     kth = tried.groupBy("query_id").agg(F.min("score").alias("score"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= k)
     bounded = materialize(_with_bounds(queries, kth), "bounded")
-    found = paired(data, bounded, n).select(*columns).mapInArrow(run, schema)
+    found = paired(data, bounded, n, total).select(*columns).mapInArrow(run, schema)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

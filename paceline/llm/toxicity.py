@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paceline.llm.common import id_and_text, materialize
+from paceline.llm.common import hashed_sample, id_and_text, materialize
 
 #: Labelled rows that the chain is fitted on, at most: those of the least hashes of doc_id. Features for each category.
 SAMPLE, FEATURES, FOLDS, STEPS, RIDGE = 8000, 600, 3, 200, 0.3
@@ -196,14 +196,14 @@ def fit_chain(texts: list[str], labels: dict[str, np.ndarray], features: int = F
 
 def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, str], sample: int = SAMPLE) -> Chain:
     """A chain fitted on at most `sample` labelled rows. categories: name to an SQL condition on the columns of labels, in
-    the chain's order; rows where a condition is null are not used, nor are null ids and texts."""
+    the chain's order; rows where a condition is null are not used, nor are null ids and texts. Of rows that share an id one
+    is used."""
     named = [F.expr(c).cast("int").alias(f"__c{k}") for k, c in enumerate(categories.values())]
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), *named).dropna()
     texts = id_and_text(docs.where(F.col("text").isNotNull()))
-    chosen = known.withColumn("__h", F.xxhash64("doc_id")).orderBy("__h", "doc_id").limit(sample)
-    rows = texts.join(F.broadcast(materialize(chosen, "chosen")), "doc_id").collect()  # at most `sample` ids
-    rows.sort(key=lambda r: (r["__h"], r.doc_id, r.text))
-    rows = rows[:sample]
+    chosen = materialize(hashed_sample(known, "doc_id", sample, known.count()), "chosen")
+    rows = texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).collect()  # at most `sample`
+    rows.sort(key=lambda r: (r["__h"], r.doc_id))
     y = {c: np.array([r[f"__c{k}"] for r in rows], np.int64) for k, c in enumerate(categories)}
     return fit_chain([r.text for r in rows], y)
 

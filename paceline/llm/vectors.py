@@ -22,10 +22,11 @@ def valid_vectors(vectors: DataFrame, id_col: str, vector_col: str, zero: bool)
     return rows if zero else rows.where(F.exists("v", lambda x: x != 0))
 
 
-def common_length(rows: DataFrame) -> int:
-    """The length that most vectors have (ties: the larger); 0 without vectors. Only vectors of one length compare."""
+def common_length(rows: DataFrame) -> tuple[int, int]:
+    """The length that most vectors have (ties: the larger) and how many those are; 0 without vectors. Only vectors of one
+    length compare."""
     top = rows.groupBy(F.size("v").alias("n")).agg(F.count(F.lit(1)).alias("k")).orderBy(F.desc("k"), F.desc("n")).first()
-    return top.n if top else 0
+    return (top.n, top.k) if top else (0, 0)
 
 
 def blocks(rows: DataFrame, dim: int, size: int, group: str = "") -> DataFrame:
@@ -60,9 +61,15 @@ def blocks(rows: DataFrame, dim: int, size: int, group: str = "") -> DataFrame:
     return rows.select("vec_id", "v", *[group] * bool(group)).mapInArrow(run, "block long, ids binary, v binary")
 
 
-def paired(data: DataFrame, queries: DataFrame, n: int) -> DataFrame:
-    """Every block of data beside every numbered block of queries: an equi-join on the number of the query block."""
-    return data.withColumn("q", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))).join(queries, "q")
+def paired(data: DataFrame, queries: DataFrame, n: int, total: int) -> DataFrame:
+    """Every block of data beside every numbered block of queries: an equi-join on the number of the query block and a salt
+    of the data block, so that even a single block of queries is searched by many tasks (some four blocks of data each)."""
+    salts = max(1, -(-total // (4 * DATA_BLOCK * n)))
+    parts = min(4096, n * salts)
+    series = lambda k: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(k - 1).cast("long")))
+    left = data.withColumn("q", series(n)).withColumn("salt", F.pmod(F.xxhash64("block"), F.lit(salts)))
+    right = queries.withColumn("salt", series(salts))
+    return left.repartition(parts, "q", "salt").join(right.repartition(parts, "q", "salt"), ["q", "salt"])
 
 
 def numbered_queries(rows: DataFrame, dim: int, every: int, size: int = QUERY_BLOCK) -> tuple[DataFrame, int]:

@@ -43,7 +43,7 @@ def check(docs, length, **sizes):
     assert order(have) == order(plain(rows, length))
 
 
-@pytest.mark.parametrize("sizes", [{}, {"shard": 20_000, "together": 2, "memory": 5000}])
+@pytest.mark.parametrize("sizes", [{}, {"shard": 150_000, "together": 2, "memory": 5000}])
 def test_documents(documents, sizes):
     check(documents, 400, **sizes)
     check(documents, 50, **sizes)
@@ -68,7 +68,7 @@ def test_shared_passages(spark):
         rows.append((i, " ".join(parts)))
     rows += [(500, "z" * 3000), (501, "z" * 120), (502, "xyz " * 700), (503, "long " + " ".join(word() for _ in range(3000)))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    for sizes in ({}, {"shard": 3000, "together": 2, "memory": 2000}):
+    for sizes in ({}, {"shard": 30_000, "together": 2, "memory": 2000}):
         check(docs, 100, **sizes)
         check(docs, 400, **sizes)
 
