@@ -132,7 +132,7 @@ def _runs(text: np.ndarray) -> np.ndarray:
     """For each place how many equal symbols follow one another from there."""
     n = len(text)
     ends = np.flatnonzero(np.append(text[1:] != text[:-1], True))
-    return np.repeat(ends, np.diff(np.concatenate([[-1], ends]))) - np.arange(n) + 1
+    return (np.repeat(ends, np.diff(np.concatenate([[-1], ends]))) - np.arange(n) + 1).astype(np.int32)
 
 
 class InducedSorter:
@@ -199,8 +199,8 @@ class InducedSorter:
     def _named(self) -> np.ndarray:
         """Names of the substrings from one seed to the next, in the order of the substrings, for the seeds from left to right."""
         order: list[np.ndarray] = []
-        index = np.full(len(self.text), -1, np.int64)
-        index[self.seeds] = np.arange(len(self.seeds))
+        index = np.full(len(self.text), -1, np.int32)
+        index[self.seeds] = np.arange(len(self.seeds), dtype=np.int32)
 
         def emit(places: np.ndarray, _) -> None:
             found = index[places]

@@ -33,7 +33,7 @@ from paceline.llm.induced import repeated_starts
 
 #: Bytes of a gram; windows of a document that are worked on at once; bytes that a shard aims at; digests of an anchor that
 #: are dealt together; memory of a shard's queues.
-GRAM, SEGMENT, SHARD, TOGETHER, QUEUES = 64, 1 << 19, 6_000_000, 4096, 1 << 27
+GRAM, SEGMENT, SHARD, TOGETHER, QUEUES = 64, 1 << 19, 1_500_000, 4096, 1 << 26
 
 _rng = np.random.default_rng(31)
 _TABLE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
@@ -108,7 +108,7 @@ def anchored(texts: list[bytes], length: int) -> list[tuple[int, int, int, int,
     for number, text in enumerate(texts):
         for base in range(0, max(0, len(text) - length + 1), SEGMENT):
             part = text[base : base + SEGMENT + length - 1]
-            if size + len(part) > (1 << 21) and held:
+            if size + len(part) > (1 << 20) and held:
                 work()
                 size = 0
             held.append((number, base, part))
