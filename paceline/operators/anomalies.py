@@ -17,7 +17,7 @@ def with_identity(df: DataFrame) -> DataFrame:
 
 
 def keep_last(df: DataFrame, keys: list[str] = KEYS, arrival: str = "row_id") -> DataFrame:
-    """Of rows with equal keys the one that arrived last: a hash aggregate with map-side partial results, not a sort."""
+    """Of rows with equal keys the one that arrived last: an aggregate with partial results before the shuffle, not a window."""
     rest = [c for c in df.columns if c not in keys]
     kept = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(arrival)).alias("__r"))
     return kept.select(*[F.col(c) if c in keys else F.col(f"__r.{c}") for c in df.columns])
