@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,17 @@ from pyspark.sql import functions as F
 WORD_SPACE = "\\x20\\x09-\\x0D"
 
 
+_held: dict[str, Callable[[], object]] = {}
+
+
+def claim(owner: str, release: Callable[[], object]) -> None:
+    """Python workers outlive a task and serve one operator after another: whoever fills a memo in a worker's process claims
+    it first, and what other operators hold there is released."""
+    for name in [n for n in _held if n != owner]:
+        _held.pop(name)()
+    _held[owner] = release
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir; where it is unset (tests), one of our own."""
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir")

@@ -6,9 +6,11 @@ corrected for the chance that bits agree by accident. What passes the estimate (
 threshold) is confirmed on the full sets.
 
 Equal sets count as one vertex, so copies cost nothing. Within a bucket no list of all pairs is made: first every member is
-compared with the bucket's least member, and the links found merge vertices into components. Members of one component need
-no more comparing; only pairs from different components of a bucket are, and the join's condition keeps those alone that
-pass the estimate. So groups of similar texts, however large, cost about a comparison for each member and bucket.
+compared with the bucket's most central one (that which meets most others over all its buckets, such as the original of
+many copies), and the links found merge vertices into components. Members of one component need no more comparing. Where
+very many pairs from different components are left, another member of each bucket is compared with those outside its
+component. The pairs left after that are compared in a join whose condition keeps, once for all bands that they share, those
+that pass the estimate from a longer signature of 2048 minima.
 """
 
 from __future__ import annotations
@@ -21,18 +23,19 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paceline.llm.common import id_and_text, materialize, only_ids
+from paceline.llm.common import claim, id_and_text, materialize, only_ids
 from paceline.llm.graph import components
 
 #: Bands and minima in each; bits kept of a minimum. A pair of similarity 0.8 shares no band once in 10**7.
 BANDS, ROWS, BITS = 32, 4, 2
 MINIMA = BANDS * ROWS
-#: Above so many comparisons another round of comparing with one member goes first.
-MANY_PAIRS = 5_000_000
+#: Minima of the longer signature; rounds of comparing with one member of a bucket, at most; comparisons for each member of
+#: an open bucket above which there is another such round.
+LONG, ROUNDS, PAIRS_EACH = 2048, 4, 2000
 
 _rng = np.random.default_rng(20)
-_MUL = _rng.integers(0, 1 << 63, MINIMA, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
-_ADD = _rng.integers(0, 1 << 63, MINIMA, dtype=np.uint64)
+_MUL = _rng.integers(0, 1 << 63, LONG, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
+_ADD = _rng.integers(0, 1 << 63, LONG, dtype=np.uint64)
 _PLACE = _rng.integers(0, 1 << 63, 64, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
 
 
@@ -46,7 +49,7 @@ class _Words(dict):
     """Word to 64-bit hash, bounded."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 250_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -55,6 +58,10 @@ class _Words(dict):
 _words = _Words()
 
 
+def _claim() -> None:
+    claim("minhash", _words.clear)
+
+
 def shingles(text: bytes, width: int) -> np.ndarray:
     """The distinct shingles of `width` words, as sorted 64-bit hashes. Words are what ASCII white space leaves, with A-Z in
     lower case; fewer than `width` words are one shingle."""
@@ -70,10 +77,11 @@ def shingles(text: bytes, width: int) -> np.ndarray:
     return np.unique(_mix(s))
 
 
-def minima(s: np.ndarray) -> np.ndarray:
-    out = np.full(MINIMA, ~np.uint64(0))
-    for lo in range(0, len(s), 2048):
-        out = np.minimum(out, (s[lo : lo + 2048, None] * _MUL + _ADD).min(0))
+def minima(s: np.ndarray, n: int = MINIMA) -> np.ndarray:
+    out = np.full(n, ~np.uint64(0))
+    step = (1 << 17) // n  # what stands in a fast cache
+    for lo in range(0, len(s), step):
+        out = np.minimum(out, (s[lo : lo + step, None] * _MUL[:n] + _ADD[:n]).min(0))
     return out
 
 
@@ -86,7 +94,7 @@ def bands_of(m: np.ndarray) -> np.ndarray:
 
 
 def packed(m: np.ndarray) -> np.ndarray:
-    """The low 2 bits of each minimum: two words of lower bits, two of upper ones."""
+    """The low 2 bits of each minimum: words of lower bits, then as many of upper ones."""
     low = _mix(m)
     planes = [np.packbits((low >> np.uint64(b) & np.uint64(1)).astype(np.uint8)).view("<u8") for b in range(BITS)]
     return np.concatenate(planes)
@@ -98,10 +106,10 @@ def estimate(agree: float) -> float:
     return (agree - by_chance) / (1 - by_chance)
 
 
-def least_agreeing(percent: int) -> int:
-    """Agreeing minima that a pair at the threshold reaches but once in about 10**7."""
+def least_agreeing(percent: int, n: int = MINIMA) -> int:
+    """Agreeing minima of n that a pair at the threshold has, but for once in about 10**7."""
     p = percent / 100 + (1 - percent / 100) * 0.5**BITS
-    return max(0, int(MINIMA * p - 5.2 * (MINIMA * p * (1 - p)) ** 0.5))
+    return max(0, int(n * p - 5.2 * (n * p * (1 - p)) ** 0.5))
 
 
 def signatures(docs: DataFrame, width: int) -> DataFrame:
@@ -110,6 +118,7 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     names = ["doc_id", "n_shingles", "lo", "hi", "bands", "w0", "w1", "w2", "w3"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _claim()
         for batch in batches:
             out = []
             for text in batch.column(1).cast(pa.binary()):
@@ -127,24 +136,38 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     return id_and_text(docs).mapInArrow(run, "doc_id long, n_shingles long, lo long, hi long, bands array<long>, w0 long, w1 long, w2 long, w3 long")
 
 
-def _agreeing(a: str, b: str) -> Column:
-    """Minima of which all kept bits agree, by bit counts."""
-    differ = [F.col(f"{a}.w{k}").bitwiseXOR(F.col(f"{b}.w{k}")).bitwiseOR(F.col(f"{a}.w{k + 2}").bitwiseXOR(F.col(f"{b}.w{k + 2}"))) for k in range(2)]
-    return F.lit(MINIMA) - F.bit_count(differ[0]) - F.bit_count(differ[1])
+def _may_link(a: str, b: str, percent: int, n: int = MINIMA) -> Column:
+    """Bit counts of the packed signatures (words w0, w1, ...) pass the estimate, and the sizes alone don't rule a link out."""
+    half = n // 64
+    agree = F.lit(n)
+    for k in range(half):
+        agree = agree - F.bit_count(F.col(f"{a}.w{k}").bitwiseXOR(F.col(f"{b}.w{k}")).bitwiseOR(F.col(f"{a}.w{k + half}").bitwiseXOR(F.col(f"{b}.w{k + half}"))))
+    na, nb = F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")
+    return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & (agree >= least_agreeing(percent, n))
+
 
+def _long_signatures(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """rep, n_shingles, w0, w1, ... from LONG minima, for the rows of docs whose doc_id is among ids (doc_id)."""
+    words = [f"w{k}" for k in range(LONG * BITS // 64)]
 
-def _may_link(a: str, b: str, percent: int) -> Column:
-    """Passes the estimate, and the sizes alone don't rule it out."""
-    na, nb = F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")
-    return (_agreeing(a, b) >= least_agreeing(percent)) & (100 * F.least(na, nb) >= percent * F.greatest(na, nb))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _claim()
+        for batch in batches:
+            sets = [shingles(t.as_py(), width) for t in batch.column(1).cast(pa.binary())]
+            found = np.array([packed(minima(s, LONG)) for s in sets]).reshape(len(sets), len(words)).view(np.int64)
+            yield pa.record_batch([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), *[pa.array(found[:, k], pa.int64()) for k in range(len(words))]], ["rep", "n_shingles", *words])
+
+    texts = only_ids(id_and_text(docs), ["doc_id"], ids).select("doc_id", "text")
+    return texts.mapInArrow(run, "rep long, n_shingles long, " + ", ".join(f"{w} long" for w in words))
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, sets: DataFrame, width: int, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) of vertices whose full sets have 100 * intersection >= percent * union."""
     pairs = materialize(pairs, "pairs")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _claim()
         for batch in batches:
             for lo in range(0, len(batch), 256):
                 part = batch.slice(lo, 256)
@@ -173,43 +196,48 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     s, r = worded.alias("s"), sets.alias("r")
     same = (F.col("s.lo") == F.col("r.lo")) & (F.col("s.hi") == F.col("r.hi"))
     reps = materialize(s.join(r, same & (F.col("s.doc_id") == F.col("r.rep"))).select("rep", "bands", *[F.col(f"s.{c}") for c in bits]), "vertices")
-    rows = reps.select("rep", F.explode("bands").alias("bucket"))
-    shared = rows.groupBy("bucket").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).where(F.col("least") < F.col("most"))
-    members = materialize(rows.join(shared, "bucket").select("bucket", "rep", "least"), "members")
+    rows = reps.select("rep", F.posexplode("bands").alias("band", "bucket"))
+    shared = rows.groupBy("bucket").agg(F.min("rep").alias("c0"), F.max("rep").alias("c1"), F.count(F.lit(1)).alias("m")).where(F.col("c0") < F.col("c1"))
+    members = materialize(rows.join(shared, "bucket").select("bucket", "band", "rep", "m"), "members")
+    central = materialize(members.groupBy("rep").agg(F.sum("m").alias("score")), "central")
     sketch = reps.select("rep", *bits)
-
-    def estimated(pairs: DataFrame) -> DataFrame:
-        a, b = sketch.alias("x"), sketch.alias("y")
-        joined = pairs.join(a, F.col("a") == F.col("x.rep")).join(b, F.col("b") == F.col("y.rep"))
-        return joined.where(_may_link("x", "y", percent)).select("a", "b").distinct()
-
-    pairs = members.where(F.col("rep") > F.col("least")).select(F.col("least").alias("a"), F.col("rep").alias("b")).distinct()
-    links = materialize(_confirmed(estimated(pairs), docs, sketch, width, percent), "links")
-    while True:
+    members = materialize(members.join(central, "rep").select("bucket", "band", "rep", "score"), "scored")
+
+    def linked(pivots: DataFrame, others: DataFrame) -> DataFrame:
+        """Links between the pivot of each bucket and other members of it, confirmed."""
+        pairs = others.join(pivots, "bucket").where(F.col("rep") != F.col("pivot")).select(F.least("pivot", "rep").alias("a"), F.greatest("pivot", "rep").alias("b")).distinct()
+        x, y = sketch.alias("x"), sketch.alias("y")
+        near = pairs.join(x, F.col("a") == F.col("x.rep")).join(y, F.col("b") == F.col("y.rep")).where(_may_link("x", "y", percent)).select("a", "b")
+        return _confirmed(near, docs, width, percent)
+
+    most = F.struct("score", -F.col("rep"))
+    links = materialize(linked(members.groupBy("bucket").agg(F.max_by("rep", most).alias("pivot")), members.select("bucket", "rep")), "links")
+    for turn in range(ROUNDS + 1):
         found = components(links)
-        placed = members.select("bucket", "rep").join(found, F.col("rep") == F.col("v"), "left").select("bucket", "rep", F.coalesce("component", "rep").alias("component"))
-        open_buckets = placed.groupBy("bucket").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count(F.lit(1)).alias("m")).where(F.col("c0") < F.col("c1"))
-        unsettled = materialize(placed.join(open_buckets, "bucket"), "unsettled")
-        compared = unsettled.select("bucket", "m").distinct().agg(F.sum(F.col("m") * (F.col("m") - 1) / 2).alias("n")).first().n or 0
-        if not compared:
+        placed = materialize(members.join(found, F.col("rep") == F.col("v"), "left").select("bucket", "band", "rep", "score", F.coalesce("component", "rep").alias("component")), "placed")
+        sizes = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("k"))
+        open_ = materialize(sizes.groupBy("bucket").agg(F.sum("k").alias("m"), ((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))) / 2).alias("pairs")).where(F.col("pairs") > 0), "open")
+        left = open_.agg(F.sum("pairs").alias("pairs"), F.sum("m").alias("m")).first()
+        if not left.pairs:
             break
-        more = None
-        if compared > MANY_PAIRS:  # another member for each bucket first: the least of its last component
-            pivots = unsettled.where(F.col("component") == F.col("c1")).groupBy("bucket").agg(F.min("rep").alias("pivot"))
-            tried = unsettled.where(F.col("component") != F.col("c1")).join(pivots, "bucket").select(F.least("pivot", "rep").alias("a"), F.greatest("pivot", "rep").alias("b")).distinct()
-            fresh = materialize(_confirmed(estimated(tried), docs, sketch, width, percent).join(links, ["a", "b"], "left_anti"), "links")
-            if fresh.limit(1).count():
-                more = fresh
-        if more is None:  # all pairs from different components of a bucket that pass the estimate
-            full = unsettled.select("bucket", "rep", "component").join(sketch, "rep")
-            x, y = full.alias("x"), full.alias("y")
-            between = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") < F.col("y.component")) & _may_link("x", "y", percent)
-            tried = x.join(y, between).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
-            more, last = materialize(_confirmed(tried, docs, sketch, width, percent), "links"), True
+        unsettled = placed.join(open_.select("bucket"), "bucket")
+        if left.pairs > PAIRS_EACH * left.m and turn < ROUNDS:
+            chief = unsettled.groupBy("bucket").agg(F.max_by("component", most).alias("chief"))
+            outside = unsettled.join(chief, "bucket").where(F.col("component") != F.col("chief"))
+            pivots = outside.groupBy("bucket").agg(F.max_by(F.struct("rep", "component"), F.xxhash64("rep", F.lit(turn))).alias("p")).select("bucket", F.col("p.rep").alias("pivot"), F.col("p.component").alias("of"))
+            others = unsettled.join(pivots.select("bucket", "of"), "bucket").where(F.col("component") != F.col("of")).select("bucket", "rep")
+            more, last = linked(pivots.select("bucket", "pivot"), others), False
         else:
-            last = False
+            ids = materialize(unsettled.select(F.col("rep").alias("doc_id")).distinct(), "ids")
+            longer = materialize(_long_signatures(docs, ids, width).dropDuplicates(["rep"]), "longer")
+            full = unsettled.select("bucket", "band", "rep", "component").join(longer, "rep").join(reps.select("rep", "bands").dropDuplicates(["rep"]), "rep")
+            x, y = full.alias("x"), full.alias("y")
+            earlier = F.arrays_overlap(F.slice("x.bands", 1, F.col("x.band")), F.slice("y.bands", 1, F.col("x.band")))
+            between = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") < F.col("y.component")) & _may_link("x", "y", percent, LONG) & ~F.when(F.col("x.band") == 0, F.lit(False)).otherwise(earlier)
+            more, last = _confirmed(x.join(y, between).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")), docs, width, percent), True
+        more = materialize(more, "more")
         if more.limit(1).count():
-            links = materialize(links.unionByName(more), "links")
+            links = materialize(links.unionByName(more).distinct(), "links")
             if last:
                 found = components(links)
         if last:

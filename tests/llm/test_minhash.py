@@ -63,7 +63,7 @@ def test_groups_and_chains(spark, monkeypatch):
     df = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, rep int, bucket string")
     want = sorted(plain(rows, 4, 80))
     assert got(df, 4, 80) == want
-    monkeypatch.setattr(minhash, "MANY_PAIRS", 3)
+    monkeypatch.setattr(minhash, "PAIRS_EACH", 0)
     assert got(df, 4, 80) == want
     assert got(df.limit(0), 4, 80) == []
 
