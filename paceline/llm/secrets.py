@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paceline.llm.common import id_and_text
+from paceline.llm.common import claim, id_and_text
 
 
 @dataclass(frozen=True)
@@ -227,6 +227,7 @@ _scanners: dict[tuple[Rule, ...], Scanner] = {}
 
 
 def _scanner(rules: tuple[Rule, ...]) -> Scanner:
+    claim("secrets", _scanners.clear)
     if rules not in _scanners:
         _scanners[rules] = Scanner(rules)
     return _scanners[rules]

@@ -33,7 +33,7 @@ from paceline.llm.induced import repeated_starts
 
 #: Bytes of a gram; windows of a document that are worked on at once; bytes that a shard aims at; digests of an anchor that
 #: are dealt together; memory of a shard's queues.
-GRAM, SEGMENT, SHARD, TOGETHER, QUEUES = 64, 1 << 19, 1_500_000, 4096, 1 << 26
+GRAM, SEGMENT, SHARD, TOGETHER, QUEUES = 64, 1 << 19, 1_000_000, 4096, 1 << 26
 
 _rng = np.random.default_rng(31)
 _TABLE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) << np.uint64(1) | np.uint64(1)

@@ -13,6 +13,8 @@ from struct import pack
 
 import regex
 
+from paceline.llm.common import claim
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
 
 # The word patterns that the two kinds of tokenizer split by.
@@ -21,7 +23,7 @@ SPACED_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s
 
 #: After this many distinct chunks the younger generation of a memo replaces the older one; some 200 bytes for each. The
 #: memo of words behind a space, and that of words at the beginning of a line.
-MEMO_LIMIT, SPACED_LIMIT, PLAIN_LIMIT = 400_000, 220_000, 60_000
+MEMO_LIMIT, SPACED_LIMIT, PLAIN_LIMIT = 400_000, 200_000, 50_000
 
 
 def _byte_characters() -> dict[int, str]:
@@ -123,6 +125,7 @@ _encoders: dict[str, WordEncoder | ByteEncoder] = {}
 
 def encoder(path: str) -> WordEncoder | ByteEncoder:
     """The process's encoder for a tokenizer file. Special tokens' strings in a text count as ordinary text."""
+    claim("tokens", _encoders.clear)
     if path not in _encoders:
         from tokenizers import Tokenizer
 

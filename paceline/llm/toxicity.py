@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paceline.llm.common import hashed_sample, id_and_text, materialize
+from paceline.llm.common import claim, hashed_sample, id_and_text, materialize
 
 #: Labelled rows that the chain is fitted on, at most: those of the least hashes of doc_id. Features for each category.
 SAMPLE, FEATURES, FOLDS, STEPS, RIDGE = 8000, 600, 3, 200, 0.3
@@ -131,7 +131,7 @@ class _Known(dict):
         self.vocabulary = vocabulary
 
     def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) > 400_000:
+        if len(self) > 200_000:
             self.clear()
         found = self[word] = tuple(self.vocabulary[f] for f in features_of_word(word) if f in self.vocabulary)
         return found
@@ -141,6 +141,7 @@ _caches: dict[int, _Known] = {}
 
 
 def _known(chain: Chain) -> _Known:
+    claim("toxicity", _caches.clear)
     key = hash((tuple(chain.categories), tuple(chain.vocabulary)))
     if key not in _caches:
         _caches.clear()
