@@ -69,6 +69,21 @@ def test_recall_and_distances(spark, embeddings):
     assert ann.nearest(df.limit(0)).collect() == []
 
 
+def test_nearest_within_thousands_of_near_copies(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(6000, 16))
+    x[::2] = x[0] + rng.normal(size=(3000, 16)) * np.repeat([1e-1, 1e-3, 1e-6], 1000)[:, None]
+    x /= np.sqrt((x**2).sum(1, keepdims=True))
+    df = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>").repartition(3)
+    got = {}
+    for q, _, i, _ in rows_of(ann.nearest(df, block=1500)):
+        got.setdefault(q, set()).add(i)
+    for q in range(0, 6000, 100):
+        d = ((x - x[q]) ** 2).sum(1)
+        d[q] = np.inf
+        assert got[q] == set(np.argsort(d, kind="stable")[:10].tolist())
+
+
 def test_parallel_error_is_less_than_without_the_weight():
     rng = np.random.default_rng(2)
     x = rng.normal(size=(2000, 16))
