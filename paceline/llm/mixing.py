@@ -5,21 +5,25 @@ the slots from floor(j / w) (release) to ceil((j + 1) / w) (deadline, exclusive)
 released the one with the earliest deadline (ties: the source's name). With shares that sum to 1 this meets every deadline,
 so in each prefix of the schedule a source is less than one block from its share.
 
-Shares are whole multiples of 1 / period, so the schedule repeats after `period` slots and only one period is computed,
-however many blocks there are. When a source has no blocks left, the next phase begins: the others' shares are scaled up
-and their schedule starts anew, so the bound holds within each phase. All rows are kept; none is repeated.
+Shares are the exact quotients of the weights: releases and deadlines come from whole numbers of any size, and the driver
+goes through the blocks slot by slot, with one heap entry for each source, and writes the schedule as it goes. When a source
+has no blocks left, the next phase begins: the others' shares are scaled up and their schedule starts anew, so the bound
+holds within each phase. All rows are kept; none is repeated.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
+from fractions import Fraction
+from math import lcm
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from paceline.llm.common import materialize
+from paceline.llm.common import workspace
 
-#: Rows in a block; slots in a period (more if there are many sources); rows that are ranked together.
+#: Rows in a block; slots that are written at a time; rows that are ranked together.
 BLOCK_ROWS, PERIOD, RANKED_TOGETHER = 64, 1000, 20_000
 
 
@@ -58,8 +62,11 @@ def pfair_period(whole: dict[str, int]) -> list[str]:
 
 
 def phases(blocks: dict[str, int], weights: dict[str, float], period: int = PERIOD) -> list[dict]:
-    """For each phase: the slot that it begins at, its period, and for each source the places of its blocks in a period
-    and the number of its first block. A phase ends with the last block of some source."""
+    """A repeating schedule for shares rounded to multiples of 1 / period, which bounds the deviation from the rounded
+    shares only; `mix` follows `schedule`, which is exact.
+
+    For each phase: the slot that it begins at, its period, and for each source the places of its blocks in a period and
+    the number of its first block. A phase ends with the last block of some source."""
     left = {s: n for s, n in blocks.items() if n > 0}
     done = dict.fromkeys(left, 0)
     out, slot = [], 0
@@ -82,6 +89,56 @@ def phases(blocks: dict[str, int], weights: dict[str, float], period: int = PERI
     return out
 
 
+def schedule(blocks: dict[str, int], weights: dict[str, float]) -> Iterator[tuple[str, int]]:
+    """The source and its block (from 0) that run in each slot, for exact weights: earliest deadline first among the
+    released blocks, in phases that end with the last block of some source."""
+    left = {s: n for s, n in blocks.items() if n > 0}
+    done = dict.fromkeys(left, 0)
+    while left:
+        exact = {s: Fraction(weights[s]) for s in left}
+        common = lcm(*(x.denominator for x in exact.values()))
+        parts = {s: int(x * common) for s, x in exact.items()}
+        total = sum(parts.values())
+        coming = [(0, s, 0) for s in sorted(left)]  # release, source, block of this phase
+        ready: list[tuple[int, str, int]] = []  # deadline, source, block of this phase
+        t, over = 0, None
+        while over is None:
+            while coming and coming[0][0] <= t:
+                _, s, j = heapq.heappop(coming)
+                heapq.heappush(ready, (-(-(j + 1) * total // parts[s]), s, j))
+            _, s, j = heapq.heappop(ready)
+            yield s, done[s]
+            done[s] += 1
+            left[s] -= 1
+            t += 1
+            if left[s]:
+                heapq.heappush(coming, ((j + 1) * total // parts[s], s, j + 1))
+            else:
+                over = s
+        del left[over]
+
+
+def _written(spark: SparkSession, blocks: dict[str, int], weights: dict[str, float], at_once: int) -> tuple[DataFrame, dict[str, int]]:
+    """The schedule as a table of __k (the source's number by name), block and slot, and the slot of each source's last
+    block. The driver holds `at_once` slots."""
+    path, number, last = workspace(spark, "schedule"), {s: k for k, s in enumerate(sorted(blocks))}, {}
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/slots.csv")
+    out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target)
+    lines: list[str] = []
+    try:
+        for slot, (s, j) in enumerate(schedule(blocks, weights)):
+            lines.append(f"{number[s]},{j},{slot}\n")
+            if j + 1 == blocks[s]:
+                last[s] = slot
+            if len(lines) >= at_once:
+                out.write("".join(lines).encode())
+                lines = []
+        out.write("".join(lines).encode())
+    finally:
+        out.close()
+    return spark.read.schema("__k int, block long, slot long").csv(path), last
+
+
 def _key(source: Column) -> Column:
     """A null source is one of its own."""
     return F.when(source.isNull(), F.lit("")).otherwise(F.concat(F.lit("="), source.cast("string")))
@@ -93,7 +150,8 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, block_r
     weights: of sources, above 0; a source that is not named has weight 1 (without weights all sources weigh the same).
     Within a source rows stand in the order of a hash of doc_id. Null sources are a source of their own, null ids are
     ordered as any id, repeated rows follow one another, an empty table gives an empty result. One row for each source
-    goes to the driver; a source of any size is ranked in groups of about `ranked_together` rows."""
+    goes to the driver, which writes the slots of `period` blocks at a time (the shares are exact whatever it is); a source
+    of any size is ranked in groups of about `ranked_together` rows."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source")).withColumn("__s", _key(F.col("source")))
     sizes = {r["__s"]: r.n for r in rows.groupBy("__s").agg(F.count(F.lit(1)).alias("n")).collect()}
     given = {("" if s is None else f"={s}"): float(w) for s, w in (weights or {}).items()}
@@ -101,7 +159,7 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, block_r
         raise ValueError("weights must be above 0")
     if not sizes:
         return rows.select("doc_id", "source", F.lit(0).cast("long").alias("block"), F.lit(0).cast("long").alias("slot"), F.lit(0).cast("long").alias("position"))
-    plan = phases({s: -(-n // block_rows) for s, n in sizes.items()}, {s: given.get(s, 1.0) for s in sizes}, period)
+    slots, last = _written(docs.sparkSession, {s: -(-n // block_rows) for s, n in sizes.items()}, {s: given.get(s, 1.0) for s in sizes}, period)
 
     # The rank of a row within its source: rows of smaller groups of the source, plus its rank within its group.
     groups = max(1, -(-sum(sizes.values()) // ranked_together))
@@ -111,33 +169,13 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, block_r
     ranked = hashed.withColumn("__k", F.row_number().over(Window.partitionBy("__s", "__g").orderBy("__h", "doc_id")))
     placed = ranked.join(before, ["__s", "__g"]).withColumn("__rank", F.col("__before") + F.col("__k") - 1).withColumn("block", F.expr(f"__rank div {block_rows}"))
 
-    # The slot of a block: the phases of its source, as arrays, and arithmetic on them. A row for each source.
-    starts: dict[str, list[tuple[int, int, int, list[int]]]] = {s: [] for s in sizes}
-    for phase in plan:
-        for s, first in phase["first"].items():
-            starts[s].append((first, phase["slot"], phase["period"], phase["places"][s]))
-    spark = docs.sparkSession
-    literal = lambda x: "array(" + ",".join(map(str, x)) + ")"
     quoted = lambda s: "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    plans = []
-    for s, found in sorted(starts.items()):
-        struct = ",".join(f"named_struct('first',{a}L,'slot',{b}L,'period',{c}L,'places',{literal(p)})" for a, b, c, p in found)
-        plans.append(f"named_struct('__s',{quoted(s)},'__phases',array({struct}))")
-    table = spark.range(0, 1, 1, 1).select(F.expr(f"inline(array({','.join(plans)}))"))
-    table = materialize(table, "schedule")
-    phase = F.element_at(F.filter("__phases", lambda p: p["first"] <= F.col("block")), -1)
-    within = F.col("block") - F.col("__p.first")
-    share = F.size("__p.places")
-    slot = F.col("__p.slot") + F.floor(within / share) * F.col("__p.period") + F.element_at("__p.places", (F.pmod(within, share) + 1).cast("int"))
-    out = placed.join(table, "__s").withColumn("__p", phase).withColumn("slot", slot.cast("long"))
+    names = ",".join(f"named_struct('__k',{k},'__s',{quoted(s)})" for k, s in enumerate(sorted(sizes)))
+    names = docs.sparkSession.range(0, 1, 1, 1).select(F.expr(f"inline(array({names}))"))
+    out = placed.join(slots.join(F.broadcast(names), "__k"), ["__s", "block"])
 
     # Last blocks of sources may be short: positions close the gaps that they leave.
-    short = []
-    for s, n in sizes.items():
-        j = -(-n // block_rows) - 1
-        a, b, c, p = [x for x in starts[s] if x[0] <= j][-1]
-        if n % block_rows:
-            short.append((b + (j - a) // len(p) * c + p[(j - a) % len(p)], block_rows - n % block_rows))
+    short = [(last[s], block_rows - n % block_rows) for s, n in sizes.items() if n % block_rows]
     gaps = F.lit(0).cast("long")
     if short:
         missing = F.array(*[F.struct(F.lit(t).cast("long").alias("slot"), F.lit(m).cast("long").alias("rows")) for t, m in sorted(short)])

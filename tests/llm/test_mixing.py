@@ -30,6 +30,22 @@ def test_less_than_one_block_from_the_share(weights, blocks):
                 assert abs(seen[s] - len(places) / p["period"] * (t + 1 - p["slot"])) < 1 + 1e-9
 
 
+def test_less_than_one_block_from_the_given_weights(spark):
+    sizes = {"hot": 2500, "rare": 9} | {f"s{i:02d}": 150 for i in range(9)}
+    weights = {"hot": 2500**0.5, "rare": 0.01} | {f"s{i:02d}": 150**0.5 for i in range(9)}
+    docs = spark.createDataFrame([(i, s) for s, n in sizes.items() for i in range(n)], "doc_id long, source string")
+    order = [r.source for r in mixing.mix(docs, weights, 1).orderBy("position").collect()]
+    left, seen, at = dict(sizes), Counter(), 0
+    for s in order:  # a phase ends with the last block of a source
+        seen[s] += 1
+        at += 1
+        total = sum(weights[x] for x, n in left.items() if n)
+        assert all(abs(seen[x] - weights[x] / total * at) < 1 + 1e-9 for x, n in left.items() if n)
+        if seen[s] == left[s]:
+            left, seen, at = {x: n - seen[x] for x, n in left.items()}, Counter(), 0
+    assert not any(left.values())
+
+
 def test_rows(documents, odd):
     for docs, size in ((documents, 4), (odd, 2), (odd, 64), (odd.limit(0), 4)):
         rows = mixing.mix(docs, {"src0": 3.0, None: 0.5, "it's": 1.0}, size, 50, 7).collect()
