@@ -5,6 +5,9 @@ number of pieces are packed best-fit decreasing on their own. Bins that are full
 emitted; the other bins go up a tree, a few partitions to a node, and are items of the next best-fit round there. Best fit
 leaves at most one bin of a partition half empty, so few bins go up, and the number going up is bounded by the number of
 partitions below, whatever the data: a node keeps as many hosts as there are guests.
+
+Documents that stand in an order to be kept (a mix of sources) are packed best-fit decreasing in windows of consecutive
+places instead, and sequences are numbered in that order.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paceline.llm.common import id_and_text, materialize
@@ -24,10 +27,13 @@ from paceline.llm.tokens import encoder
 
 #: Pieces that one task packs, and nodes of the tree that meet in one node above.
 LOCAL_ITEMS, FAN_IN = 200_000, 8
+#: Documents of consecutive places whose pieces share sequences, where an order is kept.
+WINDOW = 4096
 
 
-def pieces(docs: DataFrame, tokenizer: str, end_id: int, length: int) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 for each piece of each row's ids plus end_id.
+def pieces(docs: DataFrame, tokenizer: str, end_id: int, length: int, place: str | None = None) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32 for each piece of each row's ids plus end_id, and the row's `place` (a column
+    of docs), if asked for.
 
     Only documents of more than `length` ids are cut: full pieces, but for the first, which takes the remainder. Null texts
     are empty ones: one piece of one id."""
@@ -39,17 +45,19 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, length: int) -> DataFra
             for lo in range(0, len(batch), 256):
                 part = batch.slice(lo, 256)
                 rows = []
-                for doc_id, x in zip(part.column(0).to_pylist(), encode.encode(part.column(1).to_pylist()), strict=True):
+                own = zip(*[c.to_pylist() for c in part.columns[2:]], strict=True) if place else [()] * len(part)
+                for doc_id, x, at_place in zip(part.column(0).to_pylist(), encode.encode(part.column(1).to_pylist()), own, strict=True):
                     x = memoryview(x + end)
                     n = len(x) // 4
                     at = k = 0
                     while at < n:
                         size = (n - at) % length or min(length, n - at)
-                        rows.append((doc_id, k, at, size, zlib.crc32(x[4 * at : 4 * (at + size)])))
+                        rows.append((doc_id, k, at, size, zlib.crc32(x[4 * at : 4 * (at + size)]), *at_place))
                         at, k = at + size, k + 1
-                yield pa.record_batch([pa.array(x, pa.int64()) for x in zip(*rows, strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"])
+                yield pa.record_batch([pa.array(x, pa.int64()) for x in zip(*rows, strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32", *["place"] * bool(place)])
 
-    return id_and_text(docs).mapInArrow(run, "doc_id long, piece long, start long, length long, ids_crc32 long")
+    rows = id_and_text(docs) if place is None else docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.col(place).cast("long").alias("place"))
+    return rows.mapInArrow(run, "doc_id long, piece long, start long, length long, ids_crc32 long" + ", place long" * bool(place))
 
 
 def best_fit(sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -145,8 +153,6 @@ def pack(items: DataFrame, length: int, local_items: int = LOCAL_ITEMS, fan_in:
 
 
 def _by_node_and_fill():
-    from pyspark.sql import Window
-
     return Window.partitionBy(F.shiftright("bin", 32), "fill").orderBy("bin")
 
 
@@ -155,3 +161,40 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 2, length: int
     cut = materialize(pieces(docs, tokenizer, end_id, length), "pieces")
     packed = pack(cut, length, local_items, fan_in)
     return packed.select("doc_id", F.col("piece").cast("int").alias("piece"), "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def placed(docs: DataFrame) -> DataFrame:
+    """doc_id, text and __place: the number of the row, from 0, in the order in which docs was written. What is not a table
+    of files is written first; the partitions' files then stand in the order of the partitions."""
+    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
+        docs = materialize(docs.select("doc_id", "text"), "ordered")
+    of = docs.metadataColumn("_metadata")
+    rows = docs.select("doc_id", "text", of["file_path"].alias("__file"), of["row_index"].alias("__row"))
+    number = F.expr("try_cast(regexp_extract(__file, '.*part-([0-9]+)[^/]*$', 1) as long)")
+    earlier = Window.orderBy(number, "__file").rowsBetween(Window.unboundedPreceding, -1)  # a row for each file
+    files = rows.groupBy("__file").agg(F.count(F.lit(1)).alias("__n")).withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
+    return rows.join(F.broadcast(files.select("__file", "__before")), "__file").select("doc_id", "text", (F.col("__before") + F.col("__row")).alias("__place"))
+
+
+def pack_in_order(docs: DataFrame, tokenizer: str, end_id: int = 2, length: int = 1024, window: int = WINDOW) -> DataFrame:
+    """As pack_documents, but a sequence holds pieces of one window of `window` consecutive rows in the order in which docs was
+    written, and sequence_id rises with the windows and, within one, with the first row of a sequence.
+
+    Best fit leaves at most one sequence of a window half empty."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        sizes, piece, place = (rows[c].to_numpy() for c in ("length", "piece", "place"))
+        order = np.lexsort((piece, place, -sizes))
+        bins, at, fill = best_fit(sizes[order], length)
+        rank = np.empty(len(sizes), np.int64)
+        rank[np.lexsort((piece, place))] = np.arange(len(sizes))
+        first = np.full(len(fill), len(sizes), np.int64)
+        np.minimum.at(first, bins, rank[order])
+        number = np.empty(len(fill), np.int64)
+        number[np.argsort(first)] = np.arange(len(fill))
+        kept = rows.select(["doc_id", "piece", "start", "length", "ids_crc32"]).take(pa.array(order))
+        return kept.append_column("sequence_id", pa.array((place[order] // window << 32) + number[bins])).append_column("offset", pa.array(at))
+
+    cut = materialize(pieces(placed(docs), tokenizer, end_id, length, "__place"), "pieces")
+    packed = cut.groupBy(F.expr(f"place div {window}").alias("window")).applyInArrow(run, "doc_id long, piece long, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return packed.withColumn("piece", F.col("piece").cast("int"))

@@ -53,6 +53,27 @@ def test_stages(spark, documents):
     assert sum(r.length for r in packed) == total and check_packing(packed, 1024) <= -(-total // 1024) * 1.05 + 2
 
 
+def test_sequences_follow_the_mix(spark):
+    sizes = {"a": 6000, "b": 2500, "c": 500}
+    sources = [s for s, n in sizes.items() for _ in range(n)]
+    docs = spark.createDataFrame([(i, f"document {i} " * (1 + i * 7 % 40), s) for i, s in enumerate(sources)], "doc_id long, text string, source string").repartition(7)
+    stages = dict(P.STAGES)
+    mixed = stages["source_mix"](spark, docs, SF)
+    order = [r.doc_id for r in mixed.collect()]
+    for rows, want in ((mixed, order), (mixed.orderBy("doc_id"), sorted(order))):
+        packed = stages["packing"](spark, rows, SF).collect()
+        check_packing(packed, 1024)
+        got = list(dict.fromkeys(r.doc_id for r in sorted(packed, key=lambda r: (r.sequence_id, r.offset))))
+        place = {i: k for k, i in enumerate(want)}
+        assert sorted(got) == sorted(want)
+        for k in range(0, len(got), 4096):  # windows of documents
+            assert {place[i] for i in got[k : k + 4096]} == set(range(k, min(k + 4096, len(got))))
+        least = {}
+        for r in packed:
+            least[r.sequence_id] = min(least.get(r.sequence_id, len(got)), place[r.doc_id])
+        assert [least[k] for k in sorted(least)] == sorted(least.values())
+
+
 def test_run_and_odd_rows(spark, odd):
     assert P.run(spark, SF).count() > 0
     for docs in (odd, odd.limit(0)):
