@@ -144,12 +144,23 @@ def _from_shards(bytes_of: DataFrame, length: int, memory: int) -> DataFrame:
     """did, dig, s, e: the bytes that repeated windows of a shard cover, for rows dealt by shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts, keys = [], []
-        for batch in batches:
-            keys += zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True)
-            texts += batch.column(3).to_pylist()
+        first: dict[bytes, tuple[int, int, int]] = {}
+        told: set[bytes] = set()
         out = []
-        for (did, dig, lo), starts in zip(keys, repeated_starts(texts, length, memory), strict=True):
+        for batch in batches:
+            for did, dig, lo, text in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+                if text not in first:
+                    first[text] = (did, dig, lo)
+                    continue
+                if text not in told:
+                    told.add(text)
+                    a, b, c = first[text]
+                    out.append((a, b, c, c + len(text)))
+                out.append((did, dig, lo, lo + len(text)))
+            if len(out) > 20_000:
+                yield pa.record_batch([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], ["did", "dig", "s", "e"])
+                out = []
+        for (did, dig, lo), starts in zip(first.values(), repeated_starts(list(first), length, memory), strict=True):
             if len(starts):
                 cuts = np.flatnonzero(np.diff(starts) > 1)
                 for first, last in zip(starts[np.append(0, cuts + 1)].tolist(), starts[np.append(cuts, len(starts) - 1)].tolist(), strict=True):
@@ -178,22 +189,26 @@ def repeated_spans(docs: DataFrame, length: int = 400, shard: int = SHARD, toget
     ones = ones.withColumn("parts", F.least(F.lit(length - gram_of(length) + 1), F.ceil(F.col("k") / together)).cast("int"))
     ones = ones.withColumn("width", F.ceil(F.lit(length - gram_of(length) + 1) / F.col("parts")).cast("long"))
     first, last = F.col("far") - F.col("span") + 1, F.col("far")
+    ones = ones.withColumn("split", F.when(F.col("width") == 1, F.ceil(F.col("k") / together)).otherwise(1).cast("int"))
     ones = ones.withColumn("part", F.explode(F.sequence(F.floor(first / F.col("width")), F.floor(last / F.col("width")))))
     near, far = F.greatest(first, F.col("part") * F.col("width")), F.least(last, (F.col("part") + 1) * F.col("width") - 1)
-    ones = ones.select("did", "dig", "g", "part", (F.col("lo") + F.col("far") - far).alias("b"), (F.col("lo") + F.col("far") - near + length).alias("z"))
+    ones = ones.select("did", "dig", "g", "part", "split", (F.col("lo") + F.col("far") - far).alias("b"), (F.col("lo") + F.col("far") - near + length).alias("z"))
     ones = materialize(ones, "open")
     total = ones.agg(F.sum(F.col("z") - F.col("b")).alias("n")).first().n or 0
     spans = whole
     if total:
         shards = max(1, -(-int(total) // shard))
-        places = ones.groupBy("did", "dig").agg(F.collect_list(F.struct(F.pmod(F.xxhash64("g", "part"), F.lit(shards)).alias("shard"), "b", "z")).alias("places"))
+        places = ones.groupBy("did", "dig").agg(F.collect_list(F.struct(F.pmod(F.xxhash64("g", "part"), F.lit(shards)).alias("shard"), "split", "b", "z")).alias("places"))
 
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 out = []
                 for did, dig, text, places in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
                     text = text.encode()
-                    out += [(did, dig, p["b"], text[p["b"] : p["z"]], p["shard"]) for p in places]
+                    for p in places:
+                        window = text[p["b"] : p["z"]]
+                        by_hash = xxhash.xxh3_64_intdigest(window) % p["split"] if p["split"] > 1 else 0
+                        out.append((did, dig, p["b"], window, (p["shard"] + by_hash) % shards))
                     if len(out) > 20_000:
                         yield _cut_batch(out)
                         out = []

@@ -5,6 +5,7 @@ from collections import Counter
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from paceline.llm import suffix_dedup
 from paceline.llm.induced import repeated_starts
@@ -85,3 +86,23 @@ def test_long_texts_in_segments(spark, monkeypatch):
             for j in range(total):
                 groups.setdefault(t[lo + j : lo + j + 200], set()).add((g, far - j % span if total > span else far - j))
     assert all(len(x) == 1 for x in groups.values())
+
+
+def test_a_hot_anchor_is_dealt_to_many_shards(spark, monkeypatch):
+    rng = random.Random(8)
+    letters = lambda n: "".join(rng.choices("abcdefghijklmnop", k=n))
+    hot, long_hot = letters(30), letters(55)
+    rows = [(i, letters(60) + (hot, long_hot)[i % 2] + letters(60)) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    largest, kind = [], type(docs)
+    deal = kind.repartition
+
+    def seen(self, n, *columns):
+        if columns != ("shard",):
+            return deal(self, n, *columns)
+        largest.append(self.groupBy("shard").agg(F.countDistinct("bytes").alias("n")).agg(F.max("n")).first()[0])
+        return deal(self, 4, *columns)
+
+    monkeypatch.setattr(kind, "repartition", seen)
+    check(docs, 50, shard=1300, together=2)
+    assert largest[0] < 150
