@@ -9,6 +9,8 @@ best. That bound starts from a first block of candidates and rises as blocks are
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import isqrt
+from operator import mul
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +22,6 @@ from paceline.llm.vectors import DATA_BLOCK, blocks, common_length, numbered_que
 
 #: Dimensions that are added before candidates are compacted; query blocks whose best are held at once.
 GROUP, HELD = 16, 64
-#: Whole components beyond this size take no part: products of two still fit 64 bits.
-LARGEST = (1 << 28) - 1
 _LEAST = np.iinfo(np.int64).min
 
 
@@ -50,7 +50,7 @@ class Vertical:
             score = score + part @ query[lo : lo + group]
             if bound > _LEAST:
                 left = np.sqrt(squares[lo + group]) if lo + group < len(query) else 0.0
-                keep = score + self.rest[g][at] * (left * (1 + 1e-9)) + (1.0 if left else 0.0) >= bound
+                keep = score + self.rest[g][at] * (left * (1 + 1e-9)) + (1.0 + np.abs(score) * 2.0**-50 if left else 0.0) >= bound
                 if not keep.all():
                     at, score = at[keep], score[keep]
                     if not len(at):
@@ -60,13 +60,16 @@ class Vertical:
 
 def _merge(best: tuple[np.ndarray, np.ndarray], score: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     score, ids = np.concatenate([best[0], score]), np.concatenate([best[1], ids])
-    order = np.lexsort((ids, -score))[:k]
+    order = np.lexsort((ids, ~score))[:k]
     return score[order], ids[order]
 
 
 def _scan(k: int, dim: int, scale: float):
     """rows of (q, qids, qv, bounds or null, ids, v) to the k best of each query over a partition's blocks."""
 
+    # Sums of `dim` products of two components up to this size fit 64 bits; beyond it Python's integers multiply.
+    largest = isqrt((1 << 62) // dim)
+
     def whole(x: bytes) -> np.ndarray:
         return np.floor(np.frombuffer(x, "<f8").reshape(-1, dim) * scale)
 
@@ -89,15 +92,24 @@ def _scan(k: int, dim: int, scale: float):
                     state[row["q"]] = (qids, whole(row["qv"]), bounds, [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(qids))
                 qids, queries, bounds, found = state[row["q"]]
                 ids, v = np.frombuffer(row["ids"], "<i8"), whole(row["v"])
+                wide, wide_query = np.abs(v).max(1) > largest, np.abs(queries).max(1) > largest
+                narrow = np.flatnonzero(~wide)
+                small, asked = v[narrow], np.where(wide_query[:, None], 0, queries)
                 # Doubles are exact as long as no partial sum can pass 2**53; else 64-bit integers.
-                kind = np.float64 if dim * np.abs(v).max(initial=0) * np.abs(queries).max(initial=0) < 2**53 else np.int64
-                block, queries = Vertical(v.astype(kind)), queries.astype(kind)
+                kind = np.float64 if dim * np.abs(small).max(initial=0) * np.abs(asked).max(initial=0) < 2**53 else np.int64
+                block, asked = Vertical(small.astype(kind)), asked.astype(kind)
                 for i, q in enumerate(qids.tolist()):
                     own = ids == q
-                    bound = max(int(bounds[i]), int(found[i][0][-1]) if len(found[i][0]) == k else _LEAST)
-                    at, score = block.search(queries[i], bound, own if own.any() else None)
+                    if not wide_query[i]:
+                        bound = max(int(bounds[i]), int(found[i][0][-1]) if len(found[i][0]) == k else _LEAST)
+                        at, score = block.search(asked[i], bound, own[narrow] if own.any() else None)
+                        if len(at):
+                            found[i] = _merge(found[i], score.astype(np.int64), ids[narrow[at]], k)
+                    at = np.flatnonzero(~own & (wide | wide_query[i]))
                     if len(at):
-                        found[i] = _merge(found[i], score.astype(np.int64), ids[at], k)
+                        query = [int(x) for x in queries[i].tolist()]
+                        score = [sum(map(mul, query, map(int, x))) for x in v[at].tolist()]
+                        found[i] = _merge(found[i], np.array(score, np.int64), ids[at], k)  # an error beyond 64 bits
         yield from emit(state)
 
     return run
@@ -107,10 +119,9 @@ def exact_top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: float
     """query_id, rank, vec_id, score: the k highest inner products of floor(scale * vector) for each query, ties to the
     smaller id. Queries are the vectors whose id is divisible by `every`; candidates all but those of the query's own id.
 
-    Vectors without an id, null, empty, with null or non-finite components, of another length than most have, or with a
-    component beyond LARGEST after scaling take no part. Repeated queries count once, repeated candidates each."""
-    whole = F.forall("v", lambda x: F.abs(F.floor(x * F.lit(scale)).cast("double")) <= LARGEST)
-    rows = valid_vectors(vectors, id_col, vector_col, zero=True).where(F.forall("v", lambda x: F.abs(x * F.lit(scale)) < LARGEST) & whole)
+    Vectors without an id, null, empty, with null or non-finite components, or of another length than most have take no
+    part. An inner product of large components that does not fit 64 bits is an error, as in the query's SQL. Repeated queries count once, repeated candidates each."""
+    rows = valid_vectors(vectors, id_col, vector_col, zero=True)
     dim, total = common_length(rows)
     if not dim:
         return rows.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0).cast("long").alias("score")).limit(0)

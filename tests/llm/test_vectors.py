@@ -45,6 +45,19 @@ def test_whole_numbers_beyond_doubles(spark):
     assert rows_of(topk.exact_top_k(df, block=50)) == plain_topk(rows)
 
 
+def test_large_components_take_part(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.uniform(-1, 1, 5).tolist()) for i in range(300)]
+    for i, size in ((7, 1e6), (100, 3e5), (150, 5e5), (200, 3e6)):
+        rows[i] = (i, (rng.uniform(0.5, 1, 5) * size).tolist())
+    rows[100] = (100, [262_145.0, 0.5, -0.25, 0.0, 1.0])
+    rows[200] = (200, [1.5e6 + 0.25, -1.0, 0.0, 0.5, 2e5])
+    rows[9] = (9, [4e6, 0.5, 0.0, 0.0, 0.0])
+    rows[0] = (0, [0.5] * 5)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert rows_of(topk.exact_top_k(df, block=50)) == plain_topk(rows)
+
+
 def plain_nearest(rows, k=10, every=100):
     rows = [(i, v) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v)]
     out = {}
