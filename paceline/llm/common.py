@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import suppress
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: ASCII white space that separates words: bytes.split() without arguments splits on exactly these.
@@ -18,10 +22,41 @@ _held: dict[str, Callable[[], object]] = {}
 
 def claim(owner: str, release: Callable[[], object]) -> None:
     """Python workers outlive a task and serve one operator after another: whoever fills a memo in a worker's process claims
-    it first, and what other operators hold there is released."""
-    for name in [n for n in _held if n != owner]:
+    it first, and what other operators hold there is released. Large blocks that a worker frees go back to the system."""
+    if not _held:
+        _tidy()
+    others = [n for n in _held if n != owner]
+    for name in others:
         _held.pop(name)()
     _held[owner] = release
+    if others:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)
+
+
+def _tidy() -> None:
+    """Blocks of 1 MB or more are mapped one by one (by default that threshold rises with use, and freed ones are kept), and
+    Arrow takes its memory from the same place. Where the C library has no such settings nothing changes."""
+    with suppress(OSError, AttributeError):
+        mmap_threshold, trim_threshold = -3, -1  # fixed values of the C library's mallopt
+        c = ctypes.CDLL(None)
+        c.mallopt(mmap_threshold, 1 << 20)
+        c.mallopt(trim_threshold, 1 << 24)
+        pa.set_memory_pool(pa.system_memory_pool())
+
+
+def by_bytes(sizes: Sequence[int], most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of neighbours of at most `most` bytes together; what is larger stands alone."""
+    lo = held = 0
+    for i, size in enumerate(sizes):
+        if held + size > most and i > lo:
+            yield lo, i
+            lo, held = i, 0
+        held += size
+    if len(sizes) > lo:
+        yield lo, len(sizes)
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -57,6 +92,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that df does not have, whatever its columns are called."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def of_files(df: DataFrame) -> bool:
+    """Whether df is a table of files as it was read, so that its rows have places in files."""
+    return df._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation"
+
+
+def file_number(path: Column) -> Column:
+    """The number in a part file's name, which rises with the partitions that were written; null for other names."""
+    return F.nullif(F.regexp_extract(path, ".*part-([0-9]{1,18})[^/]*$", 1), F.lit("")).cast("long")
+
+
 def id_and_text(docs: DataFrame) -> DataFrame:
     """doc_id as long and text, null text as the empty one; other columns go, whatever their names are."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -86,3 +139,22 @@ def hashed_sample(rows: DataFrame, key: str, n: int, total: int) -> DataFrame:
     if total > 4 * n:
         rows = rows.where(F.pmod(h, F.lit(1 << 40)) < (1 << 40) * 2 * n // total)
     return rows.dropDuplicates([key]).withColumn("__h", h).orderBy("__h", key).limit(n)
+
+
+#: Rows of one key that a join leaves together.
+TOGETHER = 1000
+
+
+def spread_join(many: DataFrame, one: DataFrame, key: str, how: str = "inner", counts: DataFrame | None = None) -> DataFrame:
+    """many.join(one, key, how) for keys that may hold a large part of many: such a key's rows are dealt over salts, TOGETHER
+    rows to each, and one's rows of the key are repeated for each salt. The keys concerned are counted (counts: key and n, if
+    they are known) and broadcast, BROADCAST_IDS of the most frequent ones at most. Rows without a key are not dealt."""
+    counts = many.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")) if counts is None else counts
+    often = counts.where(F.col("n") > TOGETHER).select(key, F.ceil(F.col("n") / TOGETHER).cast("int").alias("salts"), "n")
+    often = materialize(often.orderBy(F.desc("n")).limit(BROADCAST_IDS).drop("n"), "often")
+    if not often.limit(1).count():
+        return many.join(one, key, how)
+    dealt = many.withColumn("__of", F.xxhash64(*many.columns)).join(F.broadcast(often), key, "left")
+    dealt = dealt.withColumn("salt", F.coalesce(F.pmod("__of", "salts"), F.lit(0)).cast("int")).drop("__of", "salts")
+    repeated = one.join(F.broadcast(often), key, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("salts") - 1, F.lit(0))))).drop("salts")
+    return dealt.join(repeated, [key, "salt"], how).drop("salt")

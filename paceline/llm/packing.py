@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paceline.llm.common import id_and_text, materialize
+from paceline.llm.common import file_number, id_and_text, materialize, of_files
 from paceline.llm.tokens import encoder
 
 #: Pieces that one task packs, and nodes of the tree that meet in one node above.
@@ -166,12 +166,11 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 2, length: int
 def placed(docs: DataFrame) -> DataFrame:
     """doc_id, text and __place: the number of the row, from 0, in the order in which docs was written. What is not a table
     of files is written first; the partitions' files then stand in the order of the partitions."""
-    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
+    if not of_files(docs):
         docs = materialize(docs.select("doc_id", "text"), "ordered")
     of = docs.metadataColumn("_metadata")
     rows = docs.select("doc_id", "text", of["file_path"].alias("__file"), of["row_index"].alias("__row"))
-    number = F.expr("try_cast(regexp_extract(__file, '.*part-([0-9]+)[^/]*$', 1) as long)")
-    earlier = Window.orderBy(number, "__file").rowsBetween(Window.unboundedPreceding, -1)  # a row for each file
+    earlier = Window.orderBy(file_number(F.col("__file")), "__file").rowsBetween(Window.unboundedPreceding, -1)  # a row for each file
     files = rows.groupBy("__file").agg(F.count(F.lit(1)).alias("__n")).withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
     return rows.join(F.broadcast(files.select("__file", "__before")), "__file").select("doc_id", "text", (F.col("__before") + F.col("__row")).alias("__place"))
 
