@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paceline.llm.common import materialize
+from paceline.llm.common import materialize, spread_join
 
 
 def components(edges: DataFrame) -> DataFrame:
     """v, component for every vertex of edges (a, b): component is the least vertex that v is connected to.
 
     Each round every vertex hooks on to its least neighbour, pointer jumping finds the roots, and the edges between roots
-    are the next round's graph; a component with an edge loses at least half of its vertices in a round. Hubs cost no more
-    than other vertices: their edges are pre-aggregated. Nothing but counts goes to the driver."""
+    are the next round's graph; a component with an edge loses at least half of its vertices in a round. A hub's edges are
+    pre-aggregated, and joins deal its rows over several tasks. Nothing but counts goes to the driver. Without edges the
+    result is empty; repeated edges count once."""
     edges = edges.where(F.col("a") != F.col("b")).select("a", "b")
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     labels = None
@@ -22,7 +23,7 @@ def components(edges: DataFrame) -> DataFrame:
         roots = materialize(hooks, "hooks")
         while True:
             up = roots.select(F.col("v").alias("root"), F.col("root").alias("up"))
-            jumped = roots.join(up, "root").select("v", F.col("up").alias("root"), (F.col("up") != F.col("root")).alias("moved"))
+            jumped = spread_join(roots, up, "root").select("v", F.col("up").alias("root"), (F.col("up") != F.col("root")).alias("moved"))
             jumped = materialize(jumped, "roots")
             moved = jumped.where("moved").limit(1).count()
             roots = jumped.select("v", "root")
@@ -32,8 +33,9 @@ def components(edges: DataFrame) -> DataFrame:
             labels = roots.select("v", F.col("root").alias("component"))
         else:
             step = roots.select(F.col("v").alias("component"), "root")
-            labels = materialize(labels.join(step, "component", "left").select("v", F.coalesce("root", "component").alias("component")), "labels")
+            labels = materialize(spread_join(labels, step, "component", "left").select("v", F.coalesce("root", "component").alias("component")), "labels")
         ra, rb = roots.select(F.col("v").alias("a"), F.col("root").alias("ra")), roots.select(F.col("v").alias("b"), F.col("root").alias("rb"))
-        both = materialize(both.join(ra, "a").join(rb, "b").where(F.col("ra") != F.col("rb")).select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct(), "contracted")
+        ends = spread_join(spread_join(both, ra, "a"), rb, "b")
+        both = materialize(ends.where(F.col("ra") != F.col("rb")).select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct(), "contracted")
         if not both.limit(1).count():
             return labels

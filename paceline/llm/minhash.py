@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paceline.llm.common import claim, id_and_text, materialize, only_ids
+from paceline.llm.common import claim, id_and_text, materialize, only_ids, spread_join, unused
 from paceline.llm.graph import components
 
 #: Bands and minima in each; bits kept of a minimum. A pair of similarity 0.8 shares no band once in 10**7.
@@ -162,8 +162,9 @@ def _long_signatures(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of vertices whose full sets have 100 * intersection >= percent * union."""
-    pairs = materialize(pairs, "pairs")
+    """The pairs (a, b) of vertices whose full sets have 100 * intersection >= percent * union, a < b. A vertex may be in
+    very many pairs as a; its set is then repeated for several tasks."""
+    pairs = materialize(pairs.select("a", "b"), "pairs")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,9 +177,10 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> D
 
     texts = only_ids(id_and_text(docs), ["doc_id"], materialize(ids, "ids")).select("doc_id", "text")
     full = materialize(texts.mapInArrow(run, "v long, s array<long>"), "sets")
-    both = pairs.join(full.select(F.col("v").alias("a"), F.col("s").alias("sa")), "a").join(full.select(F.col("v").alias("b"), F.col("s").alias("sb")), "b")
+    both = spread_join(pairs, full.select(F.col("v").alias("a"), F.col("s").alias("sa")), "a")
+    both = both.join(full.select(F.col("v").alias("b"), F.col("s").alias("sb")), "b")
     shared = F.size(F.array_intersect("sa", "sb"))
-    return both.where(100 * shared >= percent * (F.size("sa") + F.size("sb") - shared)).select("a", "b").distinct()
+    return both.where(100 * shared >= percent * (F.size("sa") + F.size("sb") - shared)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -191,24 +193,24 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     shares none once in 10**7."""
     sig = materialize(signatures(docs, width), "signatures")
     worded = sig.where(F.col("n_shingles") > 0).where(F.col("doc_id").isNotNull())
-    sets = worded.groupBy("lo", "hi").agg(F.min("doc_id").alias("rep"))
     bits = ["n_shingles", "w0", "w1", "w2", "w3"]
-    s, r = worded.alias("s"), sets.alias("r")
-    same = (F.col("s.lo") == F.col("r.lo")) & (F.col("s.hi") == F.col("r.hi"))
-    reps = materialize(s.join(r, same & (F.col("s.doc_id") == F.col("r.rep"))).select("rep", "bands", *[F.col(f"s.{c}") for c in bits]), "vertices")
+    sets = materialize(worded.groupBy("lo", "hi").agg(F.count(F.lit(1)).alias("n"), F.min_by(F.struct("doc_id", "bands", *bits), "doc_id").alias("of")), "sets")
+    reps = sets.select(F.col("of.doc_id").alias("rep"), *[F.col(f"of.{c}").alias(c) for c in ("bands", *bits)])
+    sets = sets.select("lo", "hi", "n", F.col("of.doc_id").alias("rep"))
     rows = reps.select("rep", F.posexplode("bands").alias("band", "bucket"))
     shared = rows.groupBy("bucket").agg(F.min("rep").alias("c0"), F.max("rep").alias("c1"), F.count(F.lit(1)).alias("m")).where(F.col("c0") < F.col("c1"))
-    members = materialize(rows.join(shared, "bucket").select("bucket", "band", "rep", "m"), "members")
+    shared = materialize(shared.select("bucket", "m"), "shared")
+    crowds = shared.select("bucket", F.col("m").alias("n"))
+    members = materialize(spread_join(rows, shared, "bucket", counts=crowds).select("bucket", "band", "rep", "m"), "members")
     central = materialize(members.groupBy("rep").agg(F.sum("m").alias("score")), "central")
-    sketch = reps.select("rep", *bits)
+    sketch = reps.select("rep", F.struct(*bits).alias("s"))
     members = materialize(members.join(central, "rep").select("bucket", "band", "rep", "score"), "scored")
 
     def linked(pivots: DataFrame, others: DataFrame) -> DataFrame:
         """Links between the pivot of each bucket and other members of it, confirmed."""
-        pairs = others.join(pivots, "bucket").where(F.col("rep") != F.col("pivot")).select(F.least("pivot", "rep").alias("a"), F.greatest("pivot", "rep").alias("b")).distinct()
-        x, y = sketch.alias("x"), sketch.alias("y")
-        near = pairs.join(x, F.col("a") == F.col("x.rep")).join(y, F.col("b") == F.col("y.rep")).where(_may_link("x", "y", percent)).select("a", "b")
-        return _confirmed(near, docs, width, percent)
+        pairs = spread_join(others, pivots, "bucket", counts=crowds).where(F.col("rep") != F.col("pivot")).select("pivot", "rep").distinct()
+        near = spread_join(pairs, sketch.select(F.col("rep").alias("pivot"), F.col("s").alias("x")), "pivot").join(sketch.select("rep", F.col("s").alias("y")), "rep")
+        return _confirmed(near.where(_may_link("x", "y", percent)).select(F.col("pivot").alias("a"), F.col("rep").alias("b")), docs, width, percent)
 
     most = F.struct("score", -F.col("rep"))
     links = materialize(linked(members.groupBy("bucket").agg(F.max_by("rep", most).alias("pivot")), members.select("bucket", "rep")), "links")
@@ -231,10 +233,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
             ids = materialize(unsettled.select(F.col("rep").alias("doc_id")).distinct(), "ids")
             longer = materialize(_long_signatures(docs, ids, width).dropDuplicates(["rep"]), "longer")
             full = unsettled.select("bucket", "band", "rep", "component").join(longer, "rep").join(reps.select("rep", "bands").dropDuplicates(["rep"]), "rep")
-            x, y = full.alias("x"), full.alias("y")
+            side = F.struct("band", "rep", "component", "bands", "n_shingles", *[c for c in longer.columns if c.startswith("w")])
             earlier = F.arrays_overlap(F.slice("x.bands", 1, F.col("x.band")), F.slice("y.bands", 1, F.col("x.band")))
-            between = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") < F.col("y.component")) & _may_link("x", "y", percent, LONG) & ~F.when(F.col("x.band") == 0, F.lit(False)).otherwise(earlier)
-            more, last = _confirmed(x.join(y, between).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")), docs, width, percent), True
+            first = F.when(F.col("x.band") == 0, F.lit(True)).otherwise(~earlier)
+            between = (F.col("x.component") < F.col("y.component")) & _may_link("x", "y", percent, LONG) & first
+            pairs = spread_join(full.select("bucket", side.alias("x")), full.select("bucket", side.alias("y")), "bucket", counts=crowds).where(between)
+            more, last = _confirmed(pairs.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")), docs, width, percent), True
         more = materialize(more, "more")
         if more.limit(1).count():
             links = materialize(links.unionByName(more).distinct(), "links")
@@ -242,18 +246,24 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
                 found = components(links)
         if last:
             break
-    of_set = sets.join(found, F.col("rep") == F.col("v"), "left").select("lo", "hi", F.coalesce("component", "rep").alias("component_id"))
-    out = sig.select("doc_id", "n_shingles", "lo", "hi").join(of_set, ["lo", "hi"], "left")
+    of_set = sets.join(found, F.col("rep") == F.col("v"), "left").select(F.struct("lo", "hi").alias("set"), "n", F.coalesce("component", "rep").alias("component_id"))
+    of_set = materialize(of_set, "of-set")
+    own = sig.select("doc_id", "n_shingles", F.when(F.col("lo").isNotNull(), F.struct("lo", "hi")).alias("set"))
+    none = own.where(F.col("set").isNull()).withColumn("component_id", F.lit(None).cast("long"))
+    out = spread_join(own.where(F.col("set").isNotNull()), of_set.drop("n"), "set", "left", counts=of_set.select("set", "n")).unionByName(none)
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component_id", "doc_id")).cast("long")
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of docs that near_duplicates() keeps, of equal rows one; rows without a doc_id stay."""
-    kept = materialize(near_duplicates(docs, width, percent).where("kept").where(F.col("doc_id").isNotNull()), "kept")
-    repeated = kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).limit(1).count()
-    ids = kept.select(F.col("doc_id").alias("__kept_id")).distinct()
-    own = F.col("doc_id").cast("long")
-    out = docs.join(ids, own == F.col("__kept_id"), "left_semi")
-    out = out.dropDuplicates(["doc_id", "text"]) if repeated else out
-    return out.unionByName(docs.where(own.isNull()))
+    found = near_duplicates(docs, width, percent).where(F.col("doc_id").isNotNull())
+    own = unused(docs, "own_id")
+    found = materialize(found.groupBy(F.col("doc_id").alias(own)).agg(F.bool_or("kept").alias("kept"), F.count(F.lit(1)).alias("n")), "kept")
+    # The ids of rows that go, and of those that may be repeated, are far fewer than all; texts stay where they are.
+    out = only_ids(docs.withColumn(own, F.col("doc_id").cast("long")), [own], found.where(~F.col("kept")).select(own), "left_anti")
+    several = found.where(F.col("kept") & (F.col("n") > 1)).select(own)
+    if several.limit(1).count():
+        once = only_ids(out, [own], several).dropDuplicates([own, "text"])
+        out = only_ids(out, [own], several, "left_anti").unionByName(once)
+    return out.select(*docs.columns)
