@@ -1,10 +1,10 @@
 """Secret scans with a trigram inverted index.
 
 From each rule's regular expression a Boolean query over trigrams is derived (AND over the parts that every match must
-contain, OR over their alternatives). Documents are indexed segment by segment (one Arrow batch is a segment): a posting
+contain, OR over their alternatives). Documents are indexed segment by segment (neighbours in a batch, 1 MB of text or one longer text): a posting
 list for each trigram that some rule asks for. A rule's query intersects and unites postings; only the documents that
 remain are verified with the regular expression. Rules without a mandatory trigram scan every document of the segment.
-Segments are independent, so nothing is shuffled, memory is bounded by a batch, and a lost task is simply run again.
+Segments are independent, so nothing is shuffled, memory is bounded by a segment, and a lost task is simply run again.
 """
 
 from __future__ import annotations
@@ -18,10 +18,11 @@ from re import _parser as sre_parser
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paceline.llm.common import claim, id_and_text
+from paceline.llm.common import by_bytes, claim, id_and_text
 
 
 @dataclass(frozen=True)
@@ -56,6 +57,7 @@ RULES = BASE_RULES + MORE_RULES
 #: A query: None (every document), a trigram, or ("and" | "or", parts).
 Query = None | bytes | tuple
 
+SEGMENT = 1 << 20  # bytes of text that are indexed together
 _WIDEST = 64  # alternatives that are followed side by side
 
 
@@ -177,7 +179,7 @@ class Scanner:
         ends = np.cumsum([len(t) for t in texts])
         found: list[list[np.ndarray]] = [[] for _ in self.grams]
         data = np.frombuffer(b"".join(texts).lower(), dtype=np.uint8)
-        step = 1 << 22
+        step = 1 << 18
         for lo in range(0, max(0, len(data) - 2), step):
             part = data[lo : lo + step + 2].astype(np.uint32)
             hit = self.codes[(part[:-2] << 16) | (part[1:-1] << 8) | part[2:]]
@@ -233,6 +235,11 @@ def _scanner(rules: tuple[Rule, ...]) -> Scanner:
     return _scanners[rules]
 
 
+def _segments(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of texts that are indexed together: SEGMENT bytes, or one text that is longer."""
+    return by_bytes([n or 0 for n in pc.binary_length(texts).to_pylist()], SEGMENT)
+
+
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """One row for each row of docs: doc_id, spans array<struct<kind,start,end>> by start, then rule order.
 
@@ -242,8 +249,10 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         scanner = _scanner(rules)
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
-            found = scanner.spans([x or b"" for x in batch.column(1).cast(pa.binary()).to_pylist()])
-            yield pa.record_batch([batch.column(0), pa.array([[{"kind": rules[k].kind, "start": s, "end": e} for s, k, e in x] for x in found], kind)], ["doc_id", "spans"])
+            texts = batch.column(1).cast(pa.binary())
+            for lo, hi in _segments(texts):
+                found = scanner.spans([x or b"" for x in texts.slice(lo, hi - lo).to_pylist()])
+                yield pa.record_batch([batch.column(0).slice(lo, hi - lo), pa.array([[{"kind": rules[k].kind, "start": s, "end": e} for s, k, e in x] for x in found], kind)], ["doc_id", "spans"])
 
     return id_and_text(docs).mapInArrow(run, "doc_id long, spans array<struct<kind:string,start:long,end:long>>")
 
@@ -265,17 +274,20 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRE
 
     @F.arrow_udf("string")
     def clean(texts: pa.Array) -> pa.Array:
-        out = texts.to_pylist()
-        found = _scanner(rules).spans([x or b"" for x in texts.cast(pa.binary()).to_pylist()])
-        for i, spans in enumerate(found):
-            if spans:
-                parts, at = [], 0
-                for start, _, end in spans:
-                    if start >= at:
-                        parts += [out[i][at:start], mark]
-                    at = max(at, end)
-                out[i] = "".join(parts) + out[i][at:]
-        return pa.array(out, pa.string())
+        scanner, parts, whole = _scanner(rules), [], texts.cast(pa.binary())
+        for lo, hi in _segments(whole):
+            out = whole.slice(lo, hi - lo).to_pylist()
+            changed = False
+            for i, spans in enumerate(scanner.spans([x or b"" for x in out])):
+                if spans:
+                    text, kept, at, changed = out[i].decode(), [], 0, True
+                    for start, _, end in spans:
+                        if start >= at:
+                            kept += [text[at:start], mark]
+                        at = max(at, end)
+                    out[i] = ("".join(kept) + text[at:]).encode()
+            parts.append(pa.array(out, pa.binary()) if changed else whole.slice(lo, hi - lo))
+        return pa.concat_arrays(parts).cast(pa.string()) if parts else texts
 
     out = docs.withColumn("text", clean(F.col("text").cast("string")))
     return out.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"])) if "n_chars" in docs.columns else out
