@@ -29,6 +29,8 @@ from paceline.llm.tokens import encoder
 
 MAGIC, TRAILER, BLOCK = b"PLBP", struct.Struct("<4sIIIQQ"), 4096
 NULL_ID = -(1 << 63)
+#: Tasks that read files at once, at most; more files than that share tasks.
+READERS = 10_000
 
 
 def pack(ids: np.ndarray, bits: int) -> np.ndarray:
@@ -175,7 +177,8 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, label: str = "ids
 
 def read_shards(manifest: DataFrame) -> DataFrame:
     """The documents of the files that a manifest names: doc_id, start, n_tokens, ids_crc32 (of all their ids as
-    little-endian unsigned 32-bit integers), in the files' order within a shard."""
+    little-endian unsigned 32-bit integers), in the files' order within a shard. Files are dealt evenly to a task each, or
+    to READERS tasks where there are more. An empty manifest gives an empty result; rows that share a doc_id stay apart."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,5 +188,6 @@ def read_shards(manifest: DataFrame) -> DataFrame:
                     rows = [(None if d == NULL_ID else d, row["start"] + at, len(ids), zlib.crc32(ids.astype("<u4").tobytes())) for d, at, ids in ShardReader(f).documents()]
                 yield pa.record_batch([pa.array(x, pa.int64()) for x in zip(*rows, strict=True)], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    dealt = manifest.select("folder", "name", "start").repartition(F.col("name"))
-    return dealt.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    tasks = max(1, min(manifest.count(), READERS))
+    dealt = manifest.select("folder", "name", "start", "shard").repartitionById(tasks, F.pmod("shard", F.lit(tasks)).cast("int"))
+    return dealt.select("folder", "name", "start").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
