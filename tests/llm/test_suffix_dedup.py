@@ -1,5 +1,7 @@
 import hashlib
 import random
+import subprocess
+import sys
 from collections import Counter
 
 import pytest
@@ -24,12 +26,12 @@ def plain(rows, length):
         kept, at = b"", 0
         for s, e in gone:
             kept, at = kept + t[at:s], e
-        out.append((i, len(t), sum(e - s for s, e in gone), len(gone), hashlib.sha256(kept + t[at:]).hexdigest()))
+        out.append((i, len(t), sum(e - s for s, e in gone), len(gone), hashlib.sha256(kept + t[at:]).hexdigest(), bool(gone)))
     return out
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.lists(st.text(alphabet="ab", max_size=25).map(str.encode) | st.binary(max_size=12), max_size=6), st.integers(1, 7), st.sampled_from([1 << 28, 64]))
+@given(st.lists(st.text(alphabet="ab", max_size=25).map(str.encode) | st.binary(max_size=12), max_size=6), st.integers(1, 7), st.sampled_from([1 << 25, 3000, 64]))
 def test_induced_sorting(texts, length, memory):
     assert [x.tolist() for x in repeated_starts(texts, length, memory)] == plain_starts(texts, length)
 
@@ -95,14 +97,41 @@ def test_a_hot_anchor_is_dealt_to_many_shards(spark, monkeypatch):
     rows = [(i, letters(60) + (hot, long_hot)[i % 2] + letters(60)) for i in range(600)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     largest, kind = [], type(docs)
-    deal = kind.repartition
+    deal = kind.repartitionById
 
-    def seen(self, n, *columns):
-        if columns != ("shard",):
-            return deal(self, n, *columns)
-        largest.append(self.groupBy("shard").agg(F.countDistinct("bytes").alias("n")).agg(F.max("n")).first()[0])
-        return deal(self, 4, *columns)
+    def seen(self, n, column):
+        if "shard" in self.columns:
+            largest.append(self.groupBy("shard").agg(F.countDistinct("bytes").alias("n")).agg(F.max("n")).first()[0])
+            return deal(self, 4, F.pmod("shard", F.lit(4)).cast("int"))
+        return deal(self, n, column)
 
-    monkeypatch.setattr(kind, "repartition", seen)
+    monkeypatch.setattr(kind, "repartitionById", seen)
     check(docs, 50, shard=1300, together=2)
     assert largest[0] < 150
+
+
+LARGE = """
+import random, resource, sys
+from collections import defaultdict
+import numpy as np
+from paceline.llm.induced import Shard
+
+rng = random.Random(5)
+part = [bytes(rng.choices(b"ab", weights=[5, 1], k=600)) for _ in range(8000)]
+texts = part + [b"c" * 40 + x[100:] for x in part[::2]]
+held = int(next(x for x in open("/proc/self/status") if x.startswith("VmData")).split()[1]) << 10
+resource.setrlimit(resource.RLIMIT_DATA, (held + (96 << 20),) * 2)
+with Shard(400, 1 << 25) as shard:
+    for x in texts:
+        shard.add(x)
+    found = [x.tolist() for x in shard.repeated()]
+assert all(x == list(range(100, 201)) if k % 2 == 0 else x == [] for k, x in enumerate(found[: len(part)])), "first"
+assert all(x == list(range(40, 141)) for x in found[len(part) :]), "second"
+print("sorted", sum(map(len, texts)))
+"""
+
+
+def test_shard_larger_than_memory():
+    """Seven million places at some thirty bytes each, sorted with 96 MB of memory."""
+    run = subprocess.run([sys.executable, "-c", LARGE], capture_output=True, text=True, timeout=600)
+    assert run.returncode == 0 and run.stdout.startswith("sorted"), run.stderr[-2000:]
