@@ -63,12 +63,17 @@ def filled_forward_within(x: Column, index: Column, w: WindowSpec, limit: int) -
 def interpolated(x: Column, index: Column, w: WindowSpec, both_ends: bool = False, max_gap: Column | None = None) -> Column:
     """Linear in index between neighbours that have values; both_ends: edges take the nearest value. max_gap: neighbours
     farther apart than that leave a hole."""
-    point = F.when(x.isNotNull(), F.struct(index.alias("i"), x.alias("v")))
+    return between(x, index, F.when(x.isNotNull(), F.struct(index.alias("i"), x.alias("v"))), w, both_ends, max_gap)
+
+
+def between(x: Column, index: Column, point: Column, w: WindowSpec, both_ends: bool = False, max_gap: Column | None = None) -> Column:
+    """As interpolated, from points (i, v) that may stand in rows of their own."""
     lo, hi = F.last(point, ignorenulls=True).over(up_to_here(w)), F.first(point, ignorenulls=True).over(from_here(w))
-    between = lo["v"] + (hi["v"] - lo["v"]) * (index - lo["i"]) / (hi["i"] - lo["i"])
+    on_line = lo["v"] + (hi["v"] - lo["v"]) * (index - lo["i"]) / (hi["i"] - lo["i"])
+    inside = F.when(hi["i"] == lo["i"], lo["v"]).otherwise(on_line)  # between rows of one time the earlier value holds
     if max_gap is not None:
-        between = F.when(hi["i"] - lo["i"] <= max_gap, between)
-    return F.coalesce(x, between, lo["v"], hi["v"]) if both_ends else F.coalesce(x, between)
+        inside = F.when(hi["i"] - lo["i"] <= max_gap, inside)
+    return F.coalesce(x, inside, lo["v"], hi["v"]) if both_ends else F.coalesce(x, inside)
 
 
 def rolling_median(x: Column, w: WindowSpec, width: int = 5) -> Column:

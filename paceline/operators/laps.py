@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from paceline.functions.blocks import bridged, rows_only, time_block, window
 from paceline.functions.scalar import without_sentinel
 from paceline.functions.windows import in_time, increments, resets, since_previous, up_to_here
 
@@ -13,10 +14,13 @@ KEY = "chassis_id"
 
 def with_boundaries(df: DataFrame, key: str = KEY, ts: str = "time_corrected", distance: str | None = "track_distance_m", track_length_m: float = 3700.0, reset: float = -100.0, order: str = "row_id") -> DataFrame:
     """lap_fixed, pre_lap, by_reset, by_increment and is_boundary for each row."""
-    w = in_time([key], ts, order)
+    w = window(key, ts, order)
     df = df.withColumn("lap_fixed", without_sentinel(F.col("lap")))
-    by_reset = resets(F.col(distance), w, reset, 0.8 * track_length_m) if distance and distance in df.columns else F.lit(False)
-    df = df.withColumns({"by_reset": by_reset, "by_increment": increments(F.col("lap_fixed"), w), "pre_lap": F.lag("lap_fixed").over(w)})
+    by_distance = distance if distance and distance in df.columns else None
+    last = ("lap_fixed", by_distance) if by_distance else ("lap_fixed",)
+    df = bridged(df, key, [ts, order], time_block(F.col(ts)), last=last)
+    by_reset = resets(F.col(distance), w, reset, 0.8 * track_length_m) if by_distance else F.lit(False)
+    df = rows_only(df.withColumns({"by_reset": by_reset, "by_increment": increments(F.col("lap_fixed"), w), "pre_lap": F.lag("lap_fixed").over(w)}))
     return df.withColumn("is_boundary", F.col("by_reset") | F.col("by_increment"))
 
 
@@ -37,13 +41,16 @@ def boundaries(marked: DataFrame, key: str = KEY, ts: str = "time_corrected", le
 
 def with_laps(marked: DataFrame, key: str = KEY, ts: str = "time_corrected", order: str = "row_id", fill_first: bool = True) -> DataFrame:
     """lap_repaired: post_lap of the last boundary at or before each row's time (ties in time included), an as-of join as
-    one window over rows that carry the boundaries themselves. Rows before the first boundary: 1, or NULL."""
-    w = in_time([key], ts, order)
-    number = F.sum(F.col("is_boundary").cast("long")).over(up_to_here(w))
-    marked = marked.withColumn("__post", F.when(F.col("is_boundary"), F.coalesce(F.col("lap_fixed").cast("long"), number)))
-    same_time = in_time([key], ts).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    windows over rows that carry the boundaries themselves, block by block. Rows before the first boundary: 1, or NULL."""
+    at = [ts, order]
+    rows = bridged(marked.withColumn("__n", F.col("is_boundary").cast("long")), key, at, time_block(F.col(ts)), sums=("__n",))
+    number = F.sum("__n").over(up_to_here(window(key, *at)))
+    rows = rows_only(rows.withColumn("__post", F.when(F.col("is_boundary"), F.coalesce(F.col("lap_fixed").cast("long"), number))))
+    rows = bridged(rows, key, at, time_block(F.col(ts)), known=("__post",))
+    same_time = window(key, ts).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     last = F.last("__post", ignorenulls=True).over(same_time)
-    return marked.withColumn("lap_repaired", F.coalesce(last, F.lit(1).cast("long")) if fill_first else last).drop("__post")
+    rows = rows.withColumn("lap_repaired", F.coalesce(last, F.lit(1).cast("long")) if fill_first else last)
+    return rows_only(rows).drop("__post", "__n")
 
 
 def durations(found: DataFrame, key: str = KEY, least_sec: float = 60.0, most_sec: float = 300.0) -> DataFrame:

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paceline.functions.scalar import micros
-from paceline.functions.windows import filled_forward_within, in_time
-from paceline.operators.resample import grid
+from paceline.functions.windows import in_time
+from paceline.operators.resample import carried_on, grid
 
 
 def global_range(df: DataFrame, ts: str) -> DataFrame:
@@ -31,8 +31,7 @@ def synchronised(df: DataFrame, key: str, ts: str, freq_hz: float, columns: list
     out = grid(entities, freq_hz, [key]).join(first, [key, "tick"], "left").select(key, "tick", "t_us", *[F.col(f"__r.{c}").alias(c) for c in columns])
     if limit_sec is None:
         return out
-    w, limit = in_time([key], "tick"), int(limit_sec * freq_hz)
-    return out.withColumns({c: filled_forward_within(F.col(c), F.col("tick"), w, limit) for c in columns})
+    return carried_on(out, key, columns, int(limit_sec * freq_hz))
 
 
 def coverage(synced: DataFrame, key: str, column: str) -> DataFrame:

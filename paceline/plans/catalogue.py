@@ -84,9 +84,7 @@ s AS (SELECT *, sum(CASE WHEN gap > 43200000000 THEN 1 ELSE 0 END) OVER (PARTITI
 SELECT user_id, CAST(segment_id AS BIGINT) AS segment_id, count(*) AS n_rows, min(us) AS start_us, max(us) AS end_us, round(sum(value), 6) AS total FROM s GROUP BY 1, 2"""
 )
 def gap_segments(spark, sf_dir):
-    r = readings(spark, sf_dir)
-    w = in_time(["user_id"], "timestamp", "row_id")
-    s = r.withColumn("gap", is_gap(F.col("timestamp"), w, 43_200)).withColumn("segment_id", segment(F.col("gap"), w))
+    s = anomalies.with_gap_segments(readings(spark, sf_dir), "user_id", "timestamp", 43_200, block_sec=30 * 86_400)
     t = micros(F.col("timestamp"))
     return tidy(s.groupBy("user_id", "segment_id").agg(F.count(F.lit(1)).alias("n_rows"), F.min(t).alias("start_us"), F.max(t).alias("end_us"), F.sum("telemetry_value").alias("total")))
 
@@ -96,7 +94,15 @@ def gap_segments(spark, sf_dir):
 SELECT user_id, start_time, round(gap_sec, 6) AS gap_sec FROM d WHERE gap_sec > 43200"""
 )
 def gap_events(spark, sf_dir):
-    return tidy(anomalies.gaps(readings(spark, sf_dir), "user_id", threshold_sec=43_200))
+    return tidy(anomalies.gaps(readings(spark, sf_dir), "user_id", threshold_sec=43_200, block_sec=30 * 86_400))
+
+
+@query(
+    f"""WITH {R}, d AS (SELECT user_id, us AS start_time, (us - lag(us) OVER w) / 1e6 AS gap_sec FROM r WINDOW w AS (PARTITION BY user_id ORDER BY us, row_id))
+SELECT user_id, start_time, round(gap_sec, 6) AS gap_sec FROM d WHERE gap_sec > 43200"""
+)
+def gap_events_parity(spark, sf_dir):
+    return tidy(anomalies.gaps(readings(spark, sf_dir), "user_id", threshold_sec=43_200, strict_parity=True))
 
 
 _ARRIVAL = "(row_id * 7919) % 100003 * 10000000 + row_id"
@@ -107,7 +113,7 @@ _ARRIVAL = "(row_id * 7919) % 100003 * 10000000 + row_id"
 SELECT vehicle_id, count(*) AS backwards FROM d WHERE dt < -0.001 GROUP BY 1"""
 )
 def backwards_count(spark, sf_dir):
-    return tidy(anomalies.backwards_counts(readings(spark, sf_dir).withColumn("row_id", F.expr(_ARRIVAL))))
+    return tidy(anomalies.backwards_counts(readings(spark, sf_dir).withColumn("row_id", F.expr(_ARRIVAL)), block_rows=10**11))
 
 
 @query(

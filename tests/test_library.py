@@ -1,5 +1,7 @@
 import json
 import math
+import random
+import re
 from datetime import datetime, timedelta, timezone
 
 import numpy as np
@@ -235,3 +237,29 @@ def test_entry(spark):
 
     assert e.entry(spark).count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_blocks_of_one_entity(spark):
+    """Block by block gives what one window over the entity gives, whatever the blocks, with nulls, ties and empty blocks."""
+    from paceline.functions import blocks
+    from paceline.functions.windows import between, in_time, interpolated, up_to_here
+
+    rng = random.Random(4)
+    seconds = sorted(rng.choice([rng.randint(0, 500), rng.randint(9000, 9500)]) for _ in range(400))
+    rows = [(None if i % 5 == 4 else "e", i, t, rng.choice([None, None, rng.random()])) for i, t in enumerate(seconds)]
+    df = spark.createDataFrame(rows, "k string, row_id long, sec long, x double").withColumn("ts", F.timestamp_seconds("sec"))
+    one = in_time(["k"], "ts", "row_id")
+    want = df.withColumns({"is_gap": F.coalesce(F.col("sec") - F.lag("sec").over(one) > 7, F.lit(False)), "x2": interpolated(F.col("x"), F.col("sec"), one), "before": F.lag("x").over(one)})
+    want = want.withColumn("segment_id", F.sum(F.col("is_gap").cast("long")).over(up_to_here(one)))
+    for size in (3, 40, 10**6):
+        got = anomalies.with_gap_segments(df, "k", "ts", 7, block_sec=size)
+        got = got.withColumn("p", F.when(F.col("x").isNotNull(), F.struct(F.col("sec").alias("i"), F.col("x").alias("v"))))
+        w = blocks.window("k", "ts", "row_id")
+        got = blocks.bridged(got, "k", ["ts", "row_id"], blocks.time_block(F.col("ts"), size), last=("x",), known=("p",))
+        got = blocks.rows_only(got.withColumns({"before": F.lag("x").over(w), "x2": between(F.col("x"), F.col("sec"), F.col("p"), w)}))
+        columns = ["row_id", "is_gap", "segment_id", "before", "x2"]
+        assert sorted(map(tuple, got.select(columns).collect())) == sorted(map(tuple, want.select(columns).collect()))
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"hashpartitioning\(k#\d+, __block", plan) and not re.search(r"specifiedwindowframe[^\n]*\], \[k#\d+\], \[ts", plan)
+    empty = anomalies.with_gap_segments(df.limit(0), "k", "ts", 7)
+    assert empty.count() == 0
