@@ -1,9 +1,9 @@
 """Toxicity by classifier chains.
 
 The categories stand in an order. A linear model (logistic regression on the presence of words and word beginnings) is
-fitted for each; the model of a category also sees the log-odds that the models before it gave. Those inputs are
-out-of-fold while fitting: a row's come from models fitted on the other folds, so later models learn from predictions as
-uncertain as they will meet. At scoring time the chain runs from front to back.
+fitted for each; the model of a category also sees the probabilities that the models before it gave. Those inputs are
+out-of-fold while fitting: a row's come from models fitted on the other folds, whose features are chosen without it, too, so
+later models learn from predictions as uncertain as they will meet. At scoring time the chain runs from front to back.
 
 Fitting takes a bounded sample of labelled rows; scoring reads every whole text in one pass without a shuffle.
 """
@@ -110,17 +110,16 @@ class Chain:
     def rows(self, found: list[list[int]]) -> Rows:
         return Rows(np.array([i for x in found for i in x], np.int64), np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int64))
 
-    def odds(self, x: Rows) -> np.ndarray:
-        """Log-odds of each category, from front to back."""
+    def chained(self, x: Rows) -> np.ndarray:
+        """Probabilities of each category, from front to back."""
         out = np.zeros((len(x.starts) - 1, 0))
         for w, v in self.models:
-            z = x.dot(w) + out @ v[:-1] + v[-1]
-            out = np.concatenate([out, np.clip(z, -35, 35)[:, None]], axis=1)
+            out = np.concatenate([out, sigmoid(x.dot(w) + out @ v[:-1] + v[-1])[:, None]], axis=1)
         return out
 
     def probabilities(self, texts: list[str]) -> np.ndarray:
         known = _known(self)
-        return sigmoid(self.odds(self.rows([sorted({i for w in words_of(t) for i in known[w]}) for t in texts])))
+        return self.chained(self.rows([sorted({i for w in words_of(t) for i in known[w]}) for t in texts]))
 
 
 class _Known(dict):
@@ -171,27 +170,41 @@ def fit_chain(texts: list[str], labels: dict[str, np.ndarray], features: int = F
     numbered = Numbered()
     found = [numbered(t) for t in texts]
     listed = list(numbered.numbers)
-    names = sorted({f for y in labels.values() for f in _telling(found, listed, y, features)})
+
+    def chosen(rows: np.ndarray) -> tuple[list[str], np.ndarray]:
+        """The features that tell most about any category within these rows, and the place of each feature among them."""
+        of = [found[i] for i in rows]
+        names = sorted({f for y in labels.values() for f in _telling(of, listed, y[rows], features)})
+        at = {f: i for i, f in enumerate(names)}
+        return names, np.array([at.get(f, -1) for f in listed], np.int64)
+
+    def of_rows(rows: np.ndarray, place: np.ndarray) -> Rows:
+        return chain.rows([sorted(i for i in place[found[r]].tolist() if i >= 0) for r in rows])
+
+    every = np.arange(len(texts))
+    names, place = chosen(every)
     chain = Chain(list(labels), {f: i for i, f in enumerate(names)}, [])
     if not texts:
         chain.models = [(np.zeros(0), np.append(np.zeros(k), -35.0)) for k in range(len(labels))]
         return chain
-    place = np.array([chain.vocabulary.get(f, -1) for f in listed], np.int64)
-    x = chain.rows([sorted(i for i in place[f].tolist() if i >= 0) for f in found])
+    x = of_rows(every, place)
+    splits = []
+    for k in range(folds if len(labels) > 1 else 0):
+        learn, held = every[every % folds != k], every[every % folds == k]
+        if len(learn) and len(held):
+            own, at = chosen(learn)
+            splits.append((learn, held, len(own), of_rows(learn, at), of_rows(held, at)))
     del numbered, found, listed
-    fold = np.arange(len(texts)) % folds
     out_of_fold = np.zeros((len(texts), 0))
     for y in labels.values():
         y = y.astype(float)
         chain.models.append(fit_linear(x, out_of_fold, y, len(names), steps, ridge))
         if len(chain.models) < len(labels):
-            z = np.zeros(len(texts))
-            for k in range(folds):
-                learn, held = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
-                if len(learn) and len(held):
-                    w, v = fit_linear(x.take(learn), out_of_fold[learn], y[learn], len(names), steps, ridge)
-                    z[held] = x.take(held).dot(w) + out_of_fold[held] @ v[:-1] + v[-1]
-            out_of_fold = np.concatenate([out_of_fold, np.clip(z, -35, 35)[:, None]], axis=1)
+            p = np.full(len(texts), y.mean())  # where there is nothing to learn from: the share of all rows
+            for learn, held, n, x_learn, x_held in splits:
+                w, v = fit_linear(x_learn, out_of_fold[learn], y[learn], n, steps, ridge)
+                p[held] = sigmoid(x_held.dot(w) + out_of_fold[held] @ v[:-1] + v[-1])
+            out_of_fold = np.concatenate([out_of_fold, p[:, None]], axis=1)
     return chain
 
 
@@ -214,7 +227,9 @@ CATEGORIES = {"junk": "quality = 0", "toxic": "toxic = 1"}
 
 
 def score(docs: DataFrame, chain: Chain, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, p_<category> for each category, rejected, for each row of docs; null texts are empty ones."""
+    """doc_id, p_<category> for each category, rejected, for each row of docs; null texts are empty ones, which are judged by
+    the models' constants. Repeated rows give repeated results, an empty table an empty one; very long texts count each word
+    once; ties at the threshold are rejected."""
     names = [f"p_{c}" for c in chain.categories]
     shared = docs.sparkSession.sparkContext.broadcast(chain)  # at most len(categories) * FEATURES features
 
@@ -230,7 +245,8 @@ def score(docs: DataFrame, chain: Chain, threshold: float = THRESHOLD) -> DataFr
 
 
 def keep_clean(docs: DataFrame, chain: Chain, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of docs that score() doesn't reject, all columns as they are."""
+    """The rows of docs that score() doesn't reject, all columns as they are, repeated rows and rows without an id or a text
+    among them; an empty table stays empty."""
     shared = docs.sparkSession.sparkContext.broadcast(chain)
 
     @F.arrow_udf("boolean")

@@ -23,11 +23,49 @@ def test_later_models_learn_from_earlier_ones():
     a = rng.integers(0, 2, 600)
     texts = [("rude " if k else "kind ") + " ".join(rng.choice(["one", "two", "three", "four"], 3)) for k in a]
     chain = T.fit_chain(texts, {"first": a, "second": a})
-    assert abs(chain.models[1][1][0]) > 0.05  # the weight of the first category's log-odds
+    assert abs(chain.models[1][1][0]) > 0.05  # the weight of the first category's probability
     p = chain.probabilities(["rude one", "kind one", ""])
     assert (p[0] > 0.8).all() and (p[1] < 0.2).all() and p.shape == (3, 2)
 
 
+def newton(dense, y, ridge):
+    """Ridge logistic regression, the last column (the constant) without a penalty."""
+    w, penalty = np.zeros(dense.shape[1]), np.append(np.full(dense.shape[1] - 1, ridge), 0)
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-dense @ w))
+        w = w - np.linalg.solve((dense * (p * (1 - p))[:, None]).T @ dense + np.diag(penalty) + 1e-12 * np.eye(len(w)), dense.T @ (p - y) + penalty * w)
+    return w
+
+
+def test_chain_against_a_plain_one():
+    rng = np.random.default_rng(7)
+    texts = [" ".join(rng.choice(["bad", "vile", "kind", "mild", "calm", "odd"], rng.integers(1, 5))) for _ in range(120)]
+    labels = {"first": np.array([("bad" in t) ^ (rng.random() < 0.15) for t in texts]).astype(int), "second": np.array([("vile" in t or "bad" in t) ^ (rng.random() < 0.15) for t in texts]).astype(int)}
+    chain = T.fit_chain(texts, labels, folds=3, steps=6000, ridge=0.5)
+
+    def design(rows, names):
+        return np.array([[float(f in {x for w in T.words_of(texts[r]) for x in T.features_of_word(w)}) for f in names] for r in rows])
+
+    def names_of(rows):
+        listed = sorted({x for r in rows for w in T.words_of(texts[r]) for x in T.features_of_word(w)})
+        of = [np.array([k for k, f in enumerate(listed) if f in {x for w in T.words_of(texts[r]) for x in T.features_of_word(w)}]) for r in rows]
+        return sorted({f for y in labels.values() for f in T._telling(of, listed, y[rows], T.FEATURES)})
+
+    every = np.arange(120)
+    one = np.ones((120, 1))
+    handed = np.zeros(120)
+    for k in range(3):
+        learn, held = every[every % 3 != k], every[every % 3 == k]
+        names = names_of(learn)
+        w = newton(np.hstack([design(learn, names), one[learn]]), labels["first"][learn], 0.5)
+        handed[held] = T.sigmoid(np.hstack([design(held, names), one[held]]) @ w)
+    x = design(every, names_of(every))
+    first = T.sigmoid(np.hstack([x, one]) @ newton(np.hstack([x, one]), labels["first"], 0.5))
+    w = newton(np.hstack([x, handed[:, None], one]), labels["second"], 0.5)
+    second = T.sigmoid(np.hstack([x, first[:, None], one]) @ w)
+    assert np.allclose(chain.probabilities(texts), np.stack([first, second], 1), atol=2e-3)
+
+
 def test_held_out_rows(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     chain = T.fit(docs, labels, T.CATEGORIES, sample=2500)
