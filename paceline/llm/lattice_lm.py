@@ -1,7 +1,8 @@
 """Subword lattice likelihood: the marginal probability of a text over all its segmentations.
 
-The vocabulary is that of a public subword tokenizer; its unigram scores are counted here, over the training documents'
-words. A text is its words, each with a word mark in front, and an end. Its probability is the sum over all sequences of
+The vocabulary is that of a public subword tokenizer. Its unigram scores are learned here, over the training documents'
+words: counts of the tokenizer's own segmentation to begin with, then one step of expectation-maximisation, in which all
+segmentations of every distinct word count by their probability. A text is its words, each with a word mark in front, and an end. Its probability is the sum over all sequences of
 pieces that spell it, by a forward recursion in log space over the lattice of pieces (bytes spell what no piece does). No
 piece goes beyond a word, so the recursion passes through a single state at each word's end: the text's probability is
 the product of its words', and each distinct word of the corpus is worked out once.
@@ -26,6 +27,8 @@ from paceline.llm.common import id_and_text, materialize
 
 #: Most frequent words that each task gets; distinct words that a task counts before it hands them on.
 FREQUENT, COUNTED_AT_ONCE = 150_000, 400_000
+#: What is added to expected counts, so that no piece is impossible.
+EXTRA = 0.1
 MARK = "▁"
 
 
@@ -49,33 +52,67 @@ class Pieces:
                 self.steps.setdefault(p[:n], None)
             self.steps[p] = x
 
-    def word(self, word: str) -> float:
-        """Log probability of a word behind its mark: forward recursion, alpha[i] for the first i characters."""
-        s = MARK + word
-        n, steps, low = len(s), self.steps, -math.inf
-        alpha = [low] * (n + 1)
-        alpha[0] = 0.0
+    def _forward(self, s: str, arcs: list[list] | None = None) -> tuple[list[float], list[list[float]]]:
+        """alpha[i], the log probability of the first i characters over all their segmentations, and its summands: alpha where
+        an arc to i begins plus the arc's log probability. arcs gets, in the same order, where each begins and its piece ("" for
+        a character spelt in bytes)."""
+        n, steps, low, bytes_, exp = len(s), self.steps, -math.inf, self.bytes_, math.exp
+        alpha, summands = [0.0] * (n + 1), [[] for _ in range(n + 1)]
+        here = 0.0
         for i in range(n):
-            here = alpha[i]
-            bytewise = here
-            for b in s[i].encode("utf-8", "replace"):
-                bytewise += self.bytes_[b]
-            alpha[i + 1] = _add(alpha[i + 1], bytewise)
+            spelt, c = here, s[i]
+            if c < "\x80":
+                spelt += bytes_[ord(c)]
+            else:
+                for b in c.encode("utf-8", "replace"):
+                    spelt += bytes_[b]
+            summands[i + 1].append(spelt)
+            if arcs is not None:
+                arcs[i + 1].append((i, ""))
             for j in range(i + 1, n + 1):
-                x = steps.get(s[i:j], low)
+                p = s[i:j]
+                x = steps.get(p, low)
                 if x is None:
                     continue
                 if x == low:
                     break
-                alpha[j] = _add(alpha[j], here + x)
-        return alpha[n]
+                summands[j].append(here + x)
+                if arcs is not None:
+                    arcs[j].append((i, p))
+            into = summands[i + 1]
+            here = into[0]
+            if len(into) > 1:
+                top = max(into)
+                here = top + math.log(sum([exp(x - top) for x in into]))
+            alpha[i + 1] = here
+        return alpha, summands
 
+    def word(self, word: str) -> float:
+        """Log probability of a word behind its mark, over all its segmentations."""
+        return self._forward(MARK + word)[0][-1]
 
-def _add(a: float, b: float) -> float:
-    """log(exp(a) + exp(b))"""
-    if a < b:
-        a, b = b, a
-    return a + math.log1p(math.exp(b - a)) if b > a - 40 else a
+    def expect(self, word: str, weight: float, pieces: dict[str, float], bytes_: list[float]) -> None:
+        """Add how often each piece and byte is expected in the word, times weight. through[j] is how often segmentations have a
+        border at j; it is dealt to the arcs that end there by their shares of alpha[j]."""
+        s = MARK + word
+        arcs: list[list[tuple[int, str]]] = [[] for _ in range(len(s) + 1)]
+        alpha, summands = self._forward(s, arcs)
+        through = [0.0] * len(s) + [weight]
+        least, exp = weight * 1e-12, math.exp
+        for j in range(len(s), 0, -1):
+            here, top = through[j], alpha[j]
+            if here < least:
+                continue
+            for (i, p), x in zip(arcs[j], summands[j], strict=True):
+                y = here * exp(x - top)
+                if y < least:
+                    continue
+                through[i] += y
+                if p:
+                    pieces[p] = pieces.get(p, 0.0) + y
+                else:
+                    for b in s[i].encode("utf-8", "replace"):
+                        bytes_[b] += y
 
 
 def _processor(model: str):
@@ -84,8 +121,8 @@ def _processor(model: str):
     return sentencepiece.SentencePieceProcessor(model_file=model)
 
 
-def piece_scores(counts: dict[int, int], ends: int, model: str) -> Pieces:
-    """Add-one estimates over the vocabulary's pieces that lie within a word, its bytes, and the end."""
+def _vocabulary(model: str) -> tuple[dict[str, int], dict[int, int]]:
+    """Ids of the pieces that lie within a word, and of the bytes."""
     sp = _processor(model)
     pieces, byte_ids = {}, {}
     for i in range(sp.get_piece_size()):
@@ -94,9 +131,15 @@ def piece_scores(counts: dict[int, int], ends: int, model: str) -> Pieces:
             byte_ids[int(p[3:-1], 16)] = i
         elif not sp.is_control(i) and not sp.is_unknown(i) and not sp.is_unused(i) and MARK not in p[1:]:
             pieces[p] = i
-    total = sum(counts.get(i, 0) for i in [*pieces.values(), *byte_ids.values()]) + ends + len(pieces) + 257
-    log = lambda i: math.log((counts.get(i, 0) + 1) / total)
-    return Pieces({p: log(i) for p, i in pieces.items()}, [log(byte_ids.get(b, -1)) for b in range(256)], math.log((ends + 1) / total))
+    return pieces, byte_ids
+
+
+def piece_scores(counts: dict[int, float], ends: int, model: str, add: float = 1.0) -> Pieces:
+    """Estimates from counts, each raised by `add`, over the vocabulary's pieces that lie within a word, its bytes, and the end."""
+    pieces, byte_ids = _vocabulary(model)
+    total = sum(counts.get(i, 0) for i in [*pieces.values(), *byte_ids.values()]) + ends + add * (len(pieces) + 257)
+    log = lambda i: math.log((counts.get(i, 0) + add) / total)
+    return Pieces({p: log(i) for p, i in pieces.items()}, [log(byte_ids.get(b, -1)) for b in range(256)], math.log((ends + add) / total))
 
 
 def held_out_of(docs: DataFrame) -> DataFrame:
@@ -154,6 +197,24 @@ def count_pieces(words: DataFrame, model: str) -> dict[int, int]:
     return {r.piece: r.n for r in found.collect()}
 
 
+def expected_pieces(words: DataFrame, scores: Pieces, model: str) -> dict[int, float]:
+    """How often each piece is expected for the counted words over all their segmentations: one number for each piece of the
+    vocabulary. Every distinct training word takes part, weighted by its count."""
+    shared = words.sparkSession.sparkContext.broadcast(scores)  # as large as the vocabulary
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, bytes_ = {}, [0.0] * 256
+        for batch in batches:
+            for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                shared.value.expect(word, float(n), found, bytes_)
+        ids, byte_ids = _vocabulary(model)
+        out = {ids[p]: x for p, x in found.items()} | {byte_ids[b]: x for b, x in enumerate(bytes_) if x and b in byte_ids}
+        yield pa.record_batch([pa.array(out, pa.int64()), pa.array(out.values(), pa.float64())], ["piece", "n"])
+
+    summed = words.where(F.col("n") > 0).select("word", "n").mapInArrow(run, "piece long, n double").groupBy("piece").agg(F.sum("n").alias("n"))
+    return {r.piece: r.n for r in summed.collect()}
+
+
 def _with_log(words: DataFrame, pieces: Pieces) -> DataFrame:
     """word, n, lp: with the log probability of each word."""
     shared = words.sparkSession.sparkContext.broadcast(pieces)  # as large as the vocabulary
@@ -191,6 +252,7 @@ def likelihood(docs: DataFrame, model: str, frequent: int = FREQUENT) -> DataFra
     sums = words.agg(F.sum("n").alias("n"), F.count(F.when(F.col("n") > 0, 1)).alias("v")).first()
     tokens, distinct = (sums.n or 0) + ends, sums.v + (1 if ends else 0)
     pieces = piece_scores(count_pieces(words, model), ends, model)
+    pieces = piece_scores(expected_pieces(words, pieces, model), ends, model, EXTRA)
     known = materialize(_with_log(words, pieces), "known")
     divisor = math.log10(tokens + distinct + 1)
 

@@ -34,6 +34,58 @@ def test_forward_recursion_sums_over_all_segmentations():
         assert model.word(word) == pytest.approx(math.log(all_segmentations(model, word)), rel=1e-12)
 
 
+def segmentations(model, s):
+    """Lists of (piece or byte, probability), one for each way to spell s."""
+    if not s:
+        yield []
+    for j in range(1, len(s) + 1):
+        if s[:j] in model.pieces:
+            yield from ([(s[:j], model.pieces[s[:j]]), *rest] for rest in segmentations(model, s[j:]))
+    if s:
+        spelt = [(b, model.bytes_[b]) for b in s[0].encode()]
+        yield from (spelt + rest for rest in segmentations(model, s[1:]))
+
+
+def test_expected_counts_are_those_of_all_segmentations():
+    model = lm.piece_scores({i: (i * 7919) % 1000 for i in range(32000)}, 5, MODEL)
+    for word in ("the", "hello", "ß数x", "aaaa", "unable", ""):
+        pieces, spelt = {}, [0.0] * 256
+        model.expect(word, 3.0, pieces, spelt)
+        ways = [(math.exp(sum(x for _, x in way)), way) for way in segmentations(model, lm.MARK + word)]
+        whole, want = sum(x for x, _ in ways), Counter()
+        for x, way in ways:
+            for unit, _ in way:
+                want[unit] += 3 * x / whole
+        have = pieces | {b: x for b, x in enumerate(spelt) if x}
+        for unit in want.keys() | have.keys():
+            assert have.get(unit, 0) == pytest.approx(want[unit], rel=1e-6, abs=1e-9)
+
+
+def trained(counts):
+    """The model of counted words, None being the end: the tokenizer's own pieces first, one step of expectation after that."""
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    pieces = Counter(p for w, c in counts.items() if w is not None for p in sp.encode(w) * c)
+    first = lm.piece_scores(pieces, counts[None], MODEL)
+    found, spelt = {}, [0.0] * 256
+    for w, c in counts.items():
+        if w is not None:
+            first.expect(w, c, found, spelt)
+    ids, byte_ids = lm._vocabulary(MODEL)
+    expected = {ids[p]: x for p, x in found.items()} | {byte_ids[b]: x for b, x in enumerate(spelt)}
+    return first, lm.piece_scores(expected, counts[None], MODEL, lm.EXTRA)
+
+
+def test_step_raises_the_likelihood_of_what_it_learned_from_and_of_held_out_texts(documents):
+    rows, counts, tokens = plain([(r.doc_id, r.text) for r in documents.collect()])
+    first, model = trained(counts)
+    for held in (False, True):
+        words = Counter(w for row, ws in zip(rows, tokens, strict=True) if row[1] is held for w in ws)
+        score = [sum(n * m.word(w) for w, n in words.items()) for m in (first, model)]
+        assert score[1] > score[0]
+
+
 def plain(rows, model=None):
     tokens = [re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) for _, t in rows]
     held = [zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2 for i, _ in rows]
@@ -51,11 +103,7 @@ def test_base_and_score(documents, odd, frequent):
     for docs in (documents, odd):
         source = [(r.doc_id, r.text) for r in docs.collect()]
         want, counts, tokens = plain(source)
-        import sentencepiece
-
-        sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
-        pieces = Counter(p for w, c in counts.items() if w is not None for p in sp.encode(w) * c)
-        model = lm.piece_scores(pieces, counts[None], MODEL)
+        _, model = trained(counts)
         scores = [(sum(model.word(w) for w in ws) + model.end) / math.log(10) for ws in tokens]
         key = lambda r: (str(r[0]), r[2], r[5])
         have = sorted((tuple(r) for r in lm.likelihood(docs, MODEL, max(1, frequent)).collect()), key=key)
