@@ -115,6 +115,119 @@ class Pieces:
                         bytes_[b] += y
 
 
+class Together:
+    """The same recursions for many words at once, over arrays: ASCII words of one length share each step. What is not ASCII,
+    longer than LONGEST or alone with its length goes word by word."""
+
+    LONGEST, FEWEST, MOST, MARKED = 64, 8, 4096, 128
+
+    def __init__(self, scores: Pieces):
+        self.scores = scores
+        column = lambda c: self.MARKED if c == MARK else ord(c)
+        self.names = ["", *(p for p in scores.steps if all(c == MARK or c < "\x80" for c in p))]
+        number = {p: k for k, p in enumerate(self.names)}
+        self.dead = len(self.names)
+        self.next = np.full((self.dead + 1, self.MARKED + 1), self.dead, np.int32)
+        self.value = np.full(self.dead + 1, -np.inf)
+        for p, k in number.items():
+            if p:
+                self.next[number[p[:-1]], column(p[-1])] = k
+                x = scores.steps[p]
+                self.value[k] = -np.inf if x is None else x
+        self.spelt = np.array([*scores.bytes_[:128], sum(scores.bytes_[b] for b in MARK.encode())])
+
+    def _groups(self, words: list[str]) -> tuple[list[tuple[list[int], np.ndarray]], list[int]]:
+        """Places of words of one length with their characters (a row for each position, the mark first); the other places."""
+        by_length: dict[int, list[int]] = {}
+        single = []
+        for k, w in enumerate(words):
+            if w.isascii() and len(w) <= self.LONGEST:
+                by_length.setdefault(len(w), []).append(k)
+            else:
+                single.append(k)
+        groups = []
+        for n, places in by_length.items():
+            for lo in range(0, len(places), self.MOST):
+                at = places[lo : lo + self.MOST]
+                if len(at) < self.FEWEST:
+                    single += at
+                    continue
+                chars = np.frombuffer("".join([words[k] for k in at]).encode(), np.uint8).reshape(len(at), n)
+                groups.append((at, np.vstack([np.full((1, len(at)), self.MARKED), chars.T]).astype(np.int64)))
+        return groups, single
+
+    def _forward(self, chars: np.ndarray, arcs: list[list] | None = None) -> np.ndarray:
+        """alpha[i, word]. arcs[j] gets what ends at j: where it begins, whose it is, the nodes of its pieces, its summands."""
+        n, m = chars.shape
+        alpha = np.full((n + 1, m), -np.inf)
+        alpha[0] = 0.0
+        everyone = np.arange(m)
+        for i in range(n):
+            here = alpha[i]
+            spelt = here + self.spelt[chars[i]]
+            alpha[i + 1] = np.logaddexp(alpha[i + 1], spelt)
+            if arcs is not None:
+                arcs[i + 1].append((i, everyone, None, spelt))
+            node, active = self.next[0, chars[i]], everyone
+            for j in range(i + 1, n + 1):
+                on = node != self.dead
+                node, active = node[on], active[on]
+                if not len(active):
+                    break
+                x = self.value[node]
+                ends = x > -np.inf
+                who = active[ends]
+                if len(who):
+                    summand = here[who] + x[ends]
+                    alpha[j, who] = np.logaddexp(alpha[j, who], summand)
+                    if arcs is not None:
+                        arcs[j].append((i, who, node[ends], summand))
+                if j < n:
+                    node = self.next[node, chars[j, active]]
+        return alpha
+
+    def words(self, words: list[str]) -> np.ndarray:
+        """Pieces.word of each."""
+        out = np.empty(len(words))
+        groups, single = self._groups(words)
+        for at, chars in groups:
+            out[at] = self._forward(chars)[-1]
+        for k in single:
+            out[k] = self.scores.word(words[k])
+        return out
+
+    def expect(self, words: list[str], weights: np.ndarray, pieces: dict[str, float], bytes_: list[float]) -> None:
+        """Pieces.expect of each."""
+        groups, single = self._groups(words)
+        found, spelt = np.zeros(self.dead), np.zeros(self.MARKED + 1)
+        for at, chars in groups:
+            n = len(chars)
+            arcs: list[list] = [[] for _ in range(n + 1)]
+            alpha = self._forward(chars, arcs)
+            through = np.zeros_like(alpha)
+            through[n] = weights[at]
+            nodes, shares = [], []
+            for j in range(n, 0, -1):
+                for i, who, node, summand in arcs[j]:
+                    y = through[j, who] * np.exp(summand - alpha[j, who])
+                    through[i, who] += y
+                    if node is None:
+                        spelt += np.bincount(chars[i], y, self.MARKED + 1)
+                    else:
+                        nodes.append(node)
+                        shares.append(y)
+            if nodes:
+                found += np.bincount(np.concatenate(nodes), np.concatenate(shares), self.dead)
+        for k in np.flatnonzero(found).tolist():
+            pieces[self.names[k]] = pieces.get(self.names[k], 0.0) + float(found[k])
+        for b in range(128):
+            bytes_[b] += float(spelt[b])
+        for b in MARK.encode():
+            bytes_[b] += float(spelt[self.MARKED])
+        for k in single:
+            self.scores.expect(words[k], float(weights[k]), pieces, bytes_)
+
+
 def _processor(model: str):
     import sentencepiece
 
@@ -203,10 +316,9 @@ def expected_pieces(words: DataFrame, scores: Pieces, model: str) -> dict[int, f
     shared = words.sparkSession.sparkContext.broadcast(scores)  # as large as the vocabulary
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, bytes_ = {}, [0.0] * 256
+        found, bytes_, together = {}, [0.0] * 256, Together(shared.value)
         for batch in batches:
-            for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                shared.value.expect(word, float(n), found, bytes_)
+            together.expect(batch.column(0).to_pylist(), batch.column(1).to_numpy(zero_copy_only=False).astype(np.float64), found, bytes_)
         ids, byte_ids = _vocabulary(model)
         out = {ids[p]: x for p, x in found.items()} | {byte_ids[b]: x for b, x in enumerate(bytes_) if x and b in byte_ids}
         yield pa.record_batch([pa.array(out, pa.int64()), pa.array(out.values(), pa.float64())], ["piece", "n"])
@@ -220,9 +332,9 @@ def _with_log(words: DataFrame, pieces: Pieces) -> DataFrame:
     shared = words.sparkSession.sparkContext.broadcast(pieces)  # as large as the vocabulary
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        together = Together(shared.value)
         for batch in batches:
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array([model.word(w) for w in batch.column(0).to_pylist()], pa.float64())], ["word", "n", "lp"])
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(together.words(batch.column(0).to_pylist()), pa.float64())], ["word", "n", "lp"])
 
     return words.select("word", "n").mapInArrow(run, "word string, n long, lp double")
 

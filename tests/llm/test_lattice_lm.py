@@ -1,14 +1,17 @@
 import math
+import random
 import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 
 from paceline.llm import lattice_lm as lm
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
+MARKED = "a" + lm.MARK + "b"
 
 
 def all_segmentations(model, word):
@@ -61,6 +64,23 @@ def test_expected_counts_are_those_of_all_segmentations():
             assert have.get(unit, 0) == pytest.approx(want[unit], rel=1e-6, abs=1e-9)
 
 
+def test_words_together_are_as_words_alone():
+    model = lm.piece_scores({i: (i * 7919) % 1000 for i in range(32000)}, 5, MODEL)
+    rng = random.Random(5)
+    words = ["".join(rng.choice("etaonis.\x00A|") for _ in range(rng.randrange(12))) for _ in range(3000)]
+    words += ["the", "ß数x", "", MARKED, "a" * 64, "a" * 65, "unable" * 2000] + ["x" * 64] * 9
+    weights = np.array([float(1 + k % 7) for k in range(len(words))])
+    together = lm.Together(model)
+    assert together.words(words) == pytest.approx([model.word(w) for w in words], rel=1e-12)
+    a, b, c, d = {}, [0.0] * 256, {}, [0.0] * 256
+    together.expect(words, weights, a, b)
+    for w, x in zip(words, weights.tolist(), strict=True):
+        model.expect(w, x, c, d)
+    assert b == pytest.approx(d, rel=1e-8, abs=1e-6)
+    for p in a.keys() | c.keys():
+        assert a.get(p, 0) == pytest.approx(c.get(p, 0), rel=1e-8, abs=1e-6)
+
+
 def trained(counts):
     """The model of counted words, None being the end: the tokenizer's own pieces first, one step of expectation after that."""
     import sentencepiece
