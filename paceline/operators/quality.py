@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paceline.config import Policy
-from paceline.functions.scalar import delta_pct, micros
+from paceline.functions.scalar import delta_pct, has_position, micros
+from paceline.schema import LAP_SENTINEL
 
 KEY = "chassis_id"
 
@@ -202,6 +203,25 @@ def drift_checks(calibration: DataFrame, policy: Policy, key: str = KEY) -> Data
     return calibration.groupBy(key).agg(std.alias("worst_std"), F.when(std > policy.drift_fail_std, "FAIL").when(std > policy.drift_warn_std, "WARN").otherwise("PASS").alias("status"))
 
 
+def _graded(share: Column, fail: float) -> Column:
+    return F.when(share > fail, "FAIL").when(share > 0, "WARN").otherwise("PASS")
+
+
+def position_checks(df: DataFrame, policy: Policy, key: str = KEY, lat: str = "gps_lat", lon: str = "gps_lon", track: str = "track_distance_m") -> DataFrame:
+    """key, missing_pct (rows with neither both coordinates nor a distance), status."""
+    missing = 100.0 * F.count_if(~has_position(F.col(lat), F.col(lon), F.col(track))) / F.count(F.lit(1))
+    return df.groupBy(key).agg(missing.alias("missing_pct")).withColumn("status", _graded(F.col("missing_pct"), policy.position_missing_fail_pct))
+
+
+def lap_checks(df: DataFrame, policy: Policy, key: str = KEY, lap: str = "lap") -> DataFrame:
+    """key, sentinel_pct (rows whose cycle number is the sentinel), laps (distinct others), status: FAIL for too many
+    sentinels, WARN for any or for too few cycles."""
+    sentinel = F.col(lap) == LAP_SENTINEL
+    out = df.groupBy(key).agg((100.0 * F.count_if(sentinel) / F.count(F.lit(1))).alias("sentinel_pct"), F.countDistinct(F.when(~sentinel, F.col(lap))).alias("laps"))
+    graded = _graded(F.col("sentinel_pct"), policy.lap_sentinel_fail_pct)
+    return out.withColumn("status", F.when((graded == "PASS") & (F.col("laps") < policy.min_lap_count), "WARN").otherwise(graded))
+
+
 def missing_signals(df: DataFrame, required: list[str], any_of: list[list[str]], key: str = KEY, signal: str = "telemetry_name") -> DataFrame:
     """key, missing (required signals that an entity lacks), ready (nothing missing and one of each alternative there)."""
     per = df.groupBy(key).agg(F.collect_set(F.when(F.col(signal).isin(required + sum(any_of, [])), F.col(signal))).alias("there"))

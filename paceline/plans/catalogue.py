@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from paceline.config import Circuit, Policy
 from paceline.functions import geometry
-from paceline.functions.scalar import degrees_from_minutes, delta_pct, local_xy, micros, normalise, seconds_between, shifted
+from paceline.functions.scalar import clock_label, degrees_from_minutes, delta_pct, frame_after, from_pixels, local_xy, micros, normalise, pixel_scale, ribbon_of, seconds_between, shifted, to_pixels
 from paceline.functions.windows import filled_forward, filled_forward_within, in_time, interpolated, is_gap, rolling_median, segment
 from paceline.operators import anomalies, features, laps, position, quality, resample, reshape, sync, timesync, trajectories
 from paceline.plans.views import DAY_MIN, GRID_HZ, L, R, W, G, line, readings, wide
@@ -651,6 +651,64 @@ def required_signals(spark, sf_dir):
     return quality.missing_signals(readings(spark, sf_dir), ["click", "view", "gear"], [["error", "signup"]])
 
 
+_EXIST = "unnest([{}]) AS expectation, unnest([{}]) AS measured, unnest([{}]) AS passed"
+
+
+def _suite_sql(names, rest) -> str:
+    """SELECT list of a suite: columns that exist, then (name, measure, condition) each."""
+    rows = [(f"{n} exists", "1.0", "true") for n in names] + rest
+    return _EXIST.format(", ".join(f"'{a}'" for a, _, _ in rows), ", ".join(f"round(CAST({b} AS DOUBLE), 6)" for _, b, _ in rows), ", ".join(c for _, _, c in rows))
+
+
+_REFINED = _suite_sql(
+    ("time_corrected", "chassis_id", "car_no", "lap_repaired", "segment_id", "telemetry_name", "telemetry_value"),
+    [("chassis_id not null", "c / n", "c = n"), ("time_corrected not null", "t / n", "t = n"), ("least speed", "coalesce(m, 0)", "coalesce(m, 0) >= 0")],
+)
+
+
+@query(f"WITH {R}, v AS (SELECT count(*) AS n, count(chassis_id) AS c, count(us) AS t, min(CASE WHEN name = 'click' THEN value - 50 END) AS m FROM r) SELECT {_REFINED} FROM v")
+def refined_suite(spark, sf_dir):
+    r = readings(spark, sf_dir)
+    name = F.when(F.col("telemetry_name") == "click", "speed").otherwise(F.col("telemetry_name"))
+    value = F.when(F.col("telemetry_name") == "click", F.col("telemetry_value") - 50).otherwise(F.col("telemetry_value"))
+    r = r.withColumns({"telemetry_value": value, "telemetry_name": name, "time_corrected": F.col("timestamp"), "lap_repaired": F.col("lap"), "segment_id": F.lit(0)})
+    return tidy(quality.report(r, quality.suite("refined", r)))
+
+
+_SIMULATION = _suite_sql(
+    ("time_global", "chassis_id", "car_no", "speed_final", "gear", "aps", "gps_lat", "gps_lon"),
+    [
+        ("time_global not null", "t / n", "t / n >= 0.95"), ("chassis_id not null", "c / n", "c / n >= 0.95"), ("speed_final not null", "s / n", "s / n >= 0.95"), ("gear not null", "g / n", "g / n >= 0.95"),
+        ("speed_final in range", "so", "so = 0"), ("gear in range", "go", "go = 0"), ("aps in range", "ao", "ao = 0"), ("distinct chassis_id", "d", "d >= 3"),
+    ],
+)
+
+
+@query(
+    f"""WITH {W}, v AS (SELECT count(*) AS n, count(t_us) AS t, count(chassis_id) AS c, count(speed) AS s, count(lap) AS g, count(*) FILTER (NOT speed BETWEEN 0 AND 100) AS so, count(*) FILTER (NOT lap BETWEEN -1 AND 10) AS go,
+count(*) FILTER (NOT aps / 100 BETWEEN 0 AND 1) AS ao, count(DISTINCT chassis_id) AS d FROM w) SELECT {_SIMULATION} FROM v"""
+)
+def simulation_suite(spark, sf_dir):
+    w = wide(spark, sf_dir).withColumns({"time_global": F.col("time_corrected"), "car_no": F.col("chassis_id"), "speed_final": F.col("speed"), "gear": F.col("lap"), "aps": F.col("aps") / 100})
+    return tidy(quality.report(w, quality.suite("simulation_ready", w)))
+
+
+@query(
+    f"""WITH {W}, n AS (SELECT chassis_id, 100.0 * count(*) FILTER ((gps_lat IS NULL OR gps_lon IS NULL) AND track_distance_m IS NULL) / count(*) AS missing_pct FROM w GROUP BY 1)
+SELECT chassis_id, round(missing_pct, 6) AS missing_pct, CASE WHEN missing_pct > 10 THEN 'FAIL' WHEN missing_pct > 0 THEN 'WARN' ELSE 'PASS' END AS status FROM n"""
+)
+def position_policy(spark, sf_dir):
+    return tidy(quality.position_checks(wide(spark, sf_dir), Policy()))
+
+
+@query(
+    f"""WITH {R}, n AS (SELECT chassis_id, 100.0 * count(*) FILTER (lap = 32768) / count(*) AS sentinel_pct, count(DISTINCT lap) FILTER (lap <> 32768) AS laps FROM r GROUP BY 1)
+SELECT chassis_id, round(sentinel_pct, 6) AS sentinel_pct, laps, CASE WHEN sentinel_pct > 10 THEN 'FAIL' WHEN sentinel_pct > 0 OR laps < 10 THEN 'WARN' ELSE 'PASS' END AS status FROM n"""
+)
+def lap_policy(spark, sf_dir):
+    return tidy(quality.lap_checks(readings(spark, sf_dir), Policy()))
+
+
 # Features
 
 _F = f"""{_B}, a AS (SELECT w.chassis_id, w.t_us, max(boundary_time) AS bt FROM w LEFT JOIN bd ON bd.chassis_id = w.chassis_id AND boundary_time <= t_us GROUP BY 1, 2),
@@ -742,11 +800,11 @@ def distance_to_xy(spark, sf_dir):
 
 @query(
     f"""WITH {R}, {L}, q AS (SELECT row_id, value * 2 - 300 AS px, (row_id % 700) - 350.5 AS py FROM r), d AS (SELECT row_id, idx, sqrt(power(x - px, 2) + power(y - py, 2)) AS distance FROM q, l)
-SELECT row_id, round(min(distance), 6) AS distance FROM d GROUP BY 1"""
+SELECT row_id, CAST(arg_min(idx, distance) AS BIGINT) AS idx, round(min(distance), 6) AS distance FROM d GROUP BY 1"""
 )
 def nearest_point(spark, sf_dir):
     rows = readings(spark, sf_dir).select("row_id", (F.col("telemetry_value") * 2 - 300).alias("x"), ((F.col("row_id") % 700) - 350.5).alias("y"), F.lit("center").alias("line"))
-    return tidy(geometry.nearest_point(rows, line(spark)).select("row_id", "distance"))
+    return tidy(geometry.nearest_point(rows, line(spark)).select("row_id", "idx", "distance"))
 
 
 @query(f"WITH {W} SELECT chassis_id, t_us, round((gps_lon + 86.619) * 111320.0 * cos(radians(33.533)), 6) AS x, round((gps_lat - 33.533) * 111320.0, 6) AS y FROM w")
@@ -767,6 +825,42 @@ def trajectory_ends(spark, sf_dir):
     return tidy(t.select("chassis_id", "n_frames", at(1)["frame"].alias("first_frame"), at(-1)["frame"].alias("last_frame"), at(1)["x"].alias("first_x"), at(-1)["y"].alias("last_y")))
 
 
+@query(f"WITH {_LX}, t AS (SELECT 1000.0 / max(c0) AS s, (min(x) + max(x)) / 2 AS mx, (min(y) + max(y)) / 2 AS my FROM cs) SELECT CAST(idx AS BIGINT) AS idx, round((x - mx) * s, 6) + 0.0 AS x, round((y - my) * s, 6) + 0.0 AS y FROM cs, t")
+def line_scaled(spark, sf_dir):
+    scaled = geometry.scaled_to_length(line(spark), 1000.0)
+    return tidy(scaled.select("idx", "x", "y"))
+
+
+@query(f"WITH {L}, s AS (SELECT x, y, coalesce(lead(x) OVER (ORDER BY idx DESC), last_value(x) OVER (ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS nx, coalesce(lead(y) OVER (ORDER BY idx DESC), last_value(y) OVER (ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS ny FROM l) SELECT round(sum(x * ny - nx * y) / 2, 6) AS area, CASE WHEN sum(x * ny - nx * y) > 0 THEN 'counter-clockwise' ELSE 'clockwise' END AS direction FROM s")
+def line_reversed(spark, sf_dir):
+    return tidy(geometry.signed_area(geometry.reversed_line(line(spark))).select("area", "direction"))
+
+
+@query(
+    f"""WITH {R}, b AS (SELECT min(value) AS lo, max(value) AS hi FROM r), q AS (SELECT row_id, value, lo, hi, least(1000 * 0.9 / (hi - lo), 600 * 0.9 / 700.0) AS s FROM r, b)
+SELECT row_id, round(500 + (value - (lo + hi) / 2) * s, 6) AS px, round(600 - (300 + (row_id % 700 - 350) * s), 6) AS py, round(value, 6) AS x FROM q"""
+)
+def pixel_round_trip(spark, sf_dir):
+    r = readings(spark, sf_dir).select("row_id", "telemetry_value")
+    low, high = F.col("lo"), F.col("hi")
+    bounds = r.agg(F.min("telemetry_value").alias("lo"), F.max("telemetry_value").alias("hi")).withColumn("__one", F.lit(1))
+    r = r.withColumn("__one", F.lit(1)).join(F.broadcast(bounds), "__one")  # a single row
+    scale = pixel_scale(high - low, F.lit(700.0), 1000.0, 600.0)
+    px = to_pixels(F.col("telemetry_value"), low, high, 1000.0, scale)
+    py = to_pixels(F.col("row_id") % 700, F.lit(0.0), F.lit(700.0), 600.0, scale, flipped=True)
+    return tidy(r.select("row_id", px.alias("px"), py.alias("py"), from_pixels(px, low, high, 1000.0, scale).alias("x")))
+
+
+@query(
+    f"""WITH {R}, q AS (SELECT row_id, CAST(car_no AS BIGINT) % 5 AS slot, row_id % 5000 AS sec FROM r)
+SELECT row_id, CASE WHEN slot = 0 THEN 'center' WHEN slot <= 2 THEN 'left_' || slot ELSE 'right_' || (slot - 2) END AS ribbon, CAST(floor(7 + sec * 1.5) AS BIGINT) % 1000 AS frame, lpad(CAST(sec // 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST(sec % 60 AS VARCHAR), 2, '0') AS label FROM q"""
+)
+def replay_frames(spark, sf_dir):
+    sec = F.col("row_id") % 5000
+    r = readings(spark, sf_dir)
+    return tidy(r.select("row_id", ribbon_of(F.col("car_no"), 2).alias("ribbon"), frame_after(F.lit(7), sec, F.lit(1.5), F.lit(1000)).alias("frame"), clock_label(sec).alias("label")))
+
+
 # Relations
 
 
