@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,7 +61,9 @@ def degrees_from_minutes(x: Column, strict_parity: bool = False) -> Column:
 
 
 def within(x: Column, low: float, high: float, tolerance: float = 0.01) -> Column:
-    return true_or_false(x.between(low - tolerance, high + tolerance))
+    """The bounds are widened in decimal: -86.55 + 0.01 is -86.54 here, and the double above it in binary."""
+    low, high, tolerance = (Decimal(str(v)) for v in (low, high, tolerance))
+    return true_or_false(x.between(float(low - tolerance), float(high + tolerance)))
 
 
 def position_quality(gps_pct: Column, lapdist_pct: Column, outlier_pct: Column, out_of_bounds_pct: Column) -> Column:
