@@ -31,3 +31,7 @@ def check(spark, sf_dir, name):
 
 def test_jump_outliers(spark, sf_dir):
     check(spark, sf_dir, "jump_outliers")
+
+
+def test_quality_score(spark, sf_dir):
+    check(spark, sf_dir, "quality_score")
