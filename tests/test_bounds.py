@@ -35,3 +35,7 @@ def test_jump_outliers(spark, sf_dir):
 
 def test_quality_score(spark, sf_dir):
     check(spark, sf_dir, "quality_score")
+
+
+def test_range_null_out(spark, sf_dir):
+    check(spark, sf_dir, "range_null_out")
