@@ -27,19 +27,21 @@ from paceline.llm.tokens import encoder
 
 #: Pieces that one task packs, and nodes of the tree that meet in one node above.
 LOCAL_ITEMS, FAN_IN = 200_000, 8
+#: Times the usual limits of the tokenizer's memos, where tokens are all that a worker is asked for: some 400 MB at most.
+MEMORY = 3
 #: Documents of consecutive places whose pieces share sequences, where an order is kept.
 WINDOW = 4096
 
 
-def pieces(docs: DataFrame, tokenizer: str, end_id: int, length: int, place: str | None = None) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, end_id: int, length: int, place: str | None = None, memory: int = 1) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 for each piece of each row's ids plus end_id, and the row's `place` (a column
-    of docs), if asked for.
+    of docs), if asked for. memory: see encoder.
 
     Only documents of more than `length` ids are cut: full pieces, but for the first, which takes the remainder. Null texts
     are empty ones: one piece of one id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer)
+        encode = encoder(tokenizer, memory)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             for lo in range(0, len(batch), 256):
@@ -158,7 +160,7 @@ def _by_node_and_fill():
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 2, length: int = 1024, local_items: int = LOCAL_ITEMS, fan_in: int = FAN_IN) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset for each piece of each document."""
-    cut = materialize(pieces(docs, tokenizer, end_id, length), "pieces")
+    cut = materialize(pieces(docs, tokenizer, end_id, length, memory=MEMORY), "pieces")
     packed = pack(cut, length, local_items, fan_in)
     return packed.select("doc_id", F.col("piece").cast("int").alias("piece"), "start", "length", "ids_crc32", "sequence_id", "offset")
 

@@ -114,3 +114,15 @@ def test_best_fit_leaves_one_bin_half_empty(sizes):
     bins, at, fill = packing.best_fit(sizes, 100)
     assert (np.bincount(bins, sizes, len(fill)) == fill).all() if len(sizes) else len(fill) == 0
     assert (fill <= 50).sum() <= 1
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=list("ab \n\t\x1c\x85\u2003数"), max_size=12))
+def test_single_white_space_is_found_without_splitting(text):
+    assert encoder(FILES[1])._single(text) == (text.split() == text.replace("\n", " ").split(" "))
+
+
+def test_larger_memos_give_the_same_ids(documents):
+    texts = [r.text or "" for r in documents.select("text").collect()]
+    small, large = encoder(FILES[1]).encode(texts), encoder(FILES[1], 3)
+    assert large.encode(texts) == small and large.spaced.limit == 3 * encoder(FILES[1]).spaced.limit
