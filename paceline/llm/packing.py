@@ -7,7 +7,7 @@ leaves at most one bin of a partition half empty, so few bins go up, and the num
 partitions below, whatever the data: a node keeps as many hosts as there are guests.
 
 Documents that stand in an order to be kept (a mix of sources) are packed best-fit decreasing in windows of consecutive
-places instead, and sequences are numbered in that order.
+places; guests and hosts meet at the borders of neighbouring windows, and sequences are numbered in that order.
 """
 
 from __future__ import annotations
@@ -177,25 +177,66 @@ def placed(docs: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(files.select("__file", "__before")), "__file").select("doc_id", "text", (F.col("__before") + F.col("__row")).alias("__place"))
 
 
+def best_fit_but_last(sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As best_fit, decreasing, of items given in an order to be kept, with the room in the bin of the last items, if the others
+    fill the fewest bins without them."""
+    order = np.argsort(-sizes, kind="stable")
+    total, last = int(sizes.sum()), np.cumsum(sizes[::-1])
+    bins, at = np.empty(len(sizes), np.int64), np.empty(len(sizes), np.int64)
+    for spare in (0, length // 64, length // 8):
+        k = int(np.searchsorted(last, total % length + spare)) + 1
+        if total % length and k < len(sizes) and last[k - 1] <= length:
+            rest = order[order < len(sizes) - k]
+            found, offsets, fill = best_fit(sizes[rest], length)
+            if len(fill) == total // length:
+                bins[rest], at[rest] = found, offsets
+                bins[-k:], at[-k:] = len(fill), np.cumsum(sizes[-k:]) - sizes[-k:]
+                return bins, at, np.append(fill, last[k - 1])
+    bins[order], at[order], fill = best_fit(sizes[order], length)
+    return bins, at, fill
+
+
 def pack_in_order(docs: DataFrame, tokenizer: str, end_id: int = 2, length: int = 1024, window: int = WINDOW) -> DataFrame:
     """As pack_documents, but a sequence holds pieces of one window of `window` consecutive rows in the order in which docs was
     written, and sequence_id rises with the windows and, within one, with the first row of a sequence.
 
-    Best fit leaves at most one sequence of a window half empty."""
+    What best fit leaves open in a window meets its neighbours': the last sequence of a window is the host of a guest, the next
+    window's emptiest sequence, if that fits, so that its rows still come after all of the earlier window. Borders behind even
+    windows have the first turn, the others take what is left."""
 
     def run(rows: pa.Table) -> pa.Table:
-        sizes, piece, place = (rows[c].to_numpy() for c in ("length", "piece", "place"))
-        order = np.lexsort((piece, place, -sizes))
-        bins, at, fill = best_fit(sizes[order], length)
-        rank = np.empty(len(sizes), np.int64)
-        rank[np.lexsort((piece, place))] = np.arange(len(sizes))
-        first = np.full(len(fill), len(sizes), np.int64)
-        np.minimum.at(first, bins, rank[order])
+        rows = rows.sort_by([("place", "ascending"), ("piece", "ascending")])
+        bins, at, fill = best_fit_but_last(rows["length"].to_numpy(), length)
+        first = np.full(len(fill), len(bins), np.int64)
+        np.minimum.at(first, bins, np.arange(len(bins)))
         number = np.empty(len(fill), np.int64)
         number[np.argsort(first)] = np.arange(len(fill))
-        kept = rows.select(["doc_id", "piece", "start", "length", "ids_crc32"]).take(pa.array(order))
-        return kept.append_column("sequence_id", pa.array((place[order] // window << 32) + number[bins])).append_column("offset", pa.array(at))
+        out = rows.select(["doc_id", "piece", "start", "length", "ids_crc32"])
+        for name, x in (("window", rows["place"].to_numpy() // window), ("number", number[bins]), ("offset", at), ("fill", fill[bins])):
+            out = out.append_column(name, pa.array(x, pa.int64()))
+        return out
 
     cut = materialize(pieces(placed(docs), tokenizer, end_id, length, "__place"), "pieces")
-    packed = cut.groupBy(F.expr(f"place div {window}").alias("window")).applyInArrow(run, "doc_id long, piece long, start long, length long, ids_crc32 long, sequence_id long, offset long")
-    return packed.withColumn("piece", F.col("piece").cast("int"))
+    schema = "doc_id long, piece long, start long, length long, ids_crc32 long, window long, number long, offset long, fill long"
+    packed = materialize(cut.groupBy(F.expr(f"place div {window}").alias("window")).applyInArrow(run, schema), "windows")
+    moves = materialize(_over_borders(packed, length), "borders")
+    out = packed.join(moves, ["window", "number"], "left")
+    at = F.shiftleft(F.coalesce("to_window", "window"), 32) + F.coalesce("to_number", "number")
+    return out.select("doc_id", F.col("piece").cast("int").alias("piece"), "start", "length", "ids_crc32", at.alias("sequence_id"), (F.col("offset") + F.coalesce("shift", F.lit(0))).alias("offset"))
+
+
+def _over_borders(packed: DataFrame, length: int) -> DataFrame:
+    """window, number of each guest, its host's to_window, to_number, and shift, what the host holds."""
+    here = F.struct("number", "fill")
+    ends = packed.groupBy("window").agg(F.max(here).alias("host"), F.min_by(here, F.struct("fill", "number")).alias("guest"))
+    ends = materialize(ends.select("window", "host", "guest"), "ends")  # a row for each window
+    a, b = ends.alias("a"), ends.alias("b")
+    fits = a.join(b, F.col("b.window") == F.col("a.window") + 1).where(F.col("a.host.fill") + F.col("b.guest.fill") <= length).select(
+        F.col("b.window").alias("window"), F.col("b.guest.number").alias("number"), (F.col("b.guest.number") == F.col("b.host.number")).alias("both"),
+        F.col("a.window").alias("to_window"), F.col("a.host.number").alias("to_number"), F.col("a.host.fill").alias("shift"),
+    )
+    even = materialize(fits.where(F.pmod("to_window", F.lit(2)) == 0), "even")
+    moved = even.where("both").select(F.col("window").alias("to_window"))  # hosts that went away as guests
+    hosting = even.select(F.col("to_window").alias("window"), F.col("to_number").alias("number"))  # guests that are hosts by now
+    odd = fits.where(F.pmod("to_window", F.lit(2)) == 1).join(moved, "to_window", "left_anti").join(hosting, ["window", "number"], "left_anti")
+    return even.unionByName(odd).drop("both")

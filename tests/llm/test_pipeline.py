@@ -4,7 +4,9 @@ from collections import Counter
 import __spark_entry__
 import corpus_pipeline as P
 import numpy as np
+import pytest
 from paceline.llm import secrets
+from paceline.llm.packing import best_fit_but_last, pack_in_order
 from paceline.llm.queries import tokenizer_path
 from paceline.llm.toxicity import CATEGORIES, fit, score
 from test_minhash import plain
@@ -74,6 +76,24 @@ def test_sequences_follow_the_mix(spark):
         assert [least[k] for k in sorted(least)] == sorted(least.values())
 
 
+@pytest.mark.parametrize(("window", "most"), [(2, 6), (3, 4), (40, 1)])
+def test_open_sequences_of_neighbouring_windows_meet(spark, window, most):
+    docs = spark.createDataFrame([(i, f"word {i}") for i in range(24)], "doc_id long, text string").coalesce(1)
+    rows = pack_in_order(docs, tokenizer_path("byte_bpe_50k.json"), window=window).collect()
+    assert len(rows) == 24 and check_packing(rows, 1024) == most
+    assert [r.doc_id // window for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset))] == [i // window for i in range(24)]
+
+
+def test_room_is_in_the_bin_of_the_last_items():
+    sizes = np.random.default_rng(0).integers(1, 200, 500)
+    bins, at, fill = best_fit_but_last(sizes, 1024)
+    assert len(fill) == -(-sizes.sum() // 1024) and bins[-1] == len(fill) - 1 and fill.sum() == sizes.sum()
+    for k in range(len(fill)):
+        mine = sorted(zip(at[bins == k].tolist(), sizes[bins == k].tolist(), strict=True))
+        assert [x for x, _ in mine] == np.cumsum([0, *(n for _, n in mine)])[:-1].tolist() and sum(n for _, n in mine) == fill[k] <= 1024
+    assert bins[np.flatnonzero(bins == len(fill) - 1)[0] :].tolist() == [len(fill) - 1] * int((bins == len(fill) - 1).sum())
+
+
 def test_run_and_odd_rows(spark, odd):
     assert P.run(spark, SF).count() > 0
     for docs in (odd, odd.limit(0)):
