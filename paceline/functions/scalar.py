@@ -66,9 +66,12 @@ def within(x: Column, low: float, high: float, tolerance: float = 0.01) -> Colum
     return true_or_false(x.between(float(low - tolerance), float(high + tolerance)))
 
 
-def position_quality(gps_pct: Column, lapdist_pct: Column, outlier_pct: Column, out_of_bounds_pct: Column) -> Column:
+def position_quality(gps: Column, lapdist: Column, outliers: Column, out_of_bounds: Column, of: Column | float = 100) -> Column:
+    """From percentages, or from counts `of` so many rows: a count's share is rounded once, so a score on a rating's very
+    border falls as in SQL."""
     one = F.lit(1.0)
-    raw = 0.4 * F.least(gps_pct / 100, one) + 0.3 * F.least(lapdist_pct / 100, one) - 0.15 * F.least(outlier_pct / 10, one) - 0.15 * F.least(out_of_bounds_pct / 5, one)
+    share = lambda c, times: F.least(times * c / of, one)
+    raw = 0.4 * share(gps, 1.0) + 0.3 * share(lapdist, 1.0) - 0.15 * share(outliers, 10.0) - 0.15 * share(out_of_bounds, 20.0)
     return F.greatest(F.lit(0.0), F.least(one, raw))
 
 

@@ -43,6 +43,6 @@ def quality(raw: DataFrame, clean: DataFrame, key: str = "chassis_id") -> DataFr
     there = F.col("gps_lat").isNotNull() & F.col("gps_lon").isNotNull()
     after = clean.groupBy(key).agg(F.count_if(there).alias("gps_after"), F.count_if("is_outlier").alias("outliers"), F.count_if(~F.col("lat_ok") | ~F.col("lon_ok")).alias("out_of_bounds"))
     pct = lambda c: 100.0 * F.col(c) / F.col("n_rows")
-    score = position_quality(pct("gps_after"), pct("lapdist"), pct("outliers"), pct("out_of_bounds"))
+    score = position_quality(*map(F.col, ("gps_after", "lapdist", "outliers", "out_of_bounds")), of=F.col("n_rows"))
     out = before.join(after, key).withColumns({"gps_pct": pct("gps_after"), "lapdist_pct": pct("lapdist"), "interpolated": F.greatest(F.col("gps_after") - F.col("gps_before"), F.lit(0)), "score": score})
     return out.withColumn("rating", quality_rating(F.col("score")))

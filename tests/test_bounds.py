@@ -39,3 +39,19 @@ def test_quality_score(spark, sf_dir):
 
 def test_range_null_out(spark, sf_dir):
     check(spark, sf_dir, "range_null_out")
+
+
+def test_quality_score_on_the_border_of_a_rating(spark, tmp_path):
+    # for each user hours, jumps, hours without a position, which count as out of bounds: scores of 0.4 and, last, 0.6
+    cases = [(44, 2, 7), (76, 2, 19), (88, 4, 14), (87, 1, 2)]
+    rows = []
+    for user, (n, jumps, without) in enumerate(cases):
+        for h in range(n):
+            latitude = 50.0 + 30 * (min(h, jumps) % 2)
+            values = {"click": 1.0} | ({"signup": latitude, "error": 50.0} if h < n - without else {})
+            rows += [(datetime(2024, 1, 1) + timedelta(hours=h, minutes=k), user, name, value, '{"k": 1}') for k, (name, value) in enumerate(values.items())]
+    df = pd.DataFrame(rows, columns=["ts", "user_id", "event_type", "value", "props"])
+    df.insert(0, "event_id", range(len(df)))
+    df["ts"] = df["ts"].astype("datetime64[us]")
+    df.to_parquet(tmp_path / "events.parquet")
+    check(spark, str(tmp_path), "quality_score")
