@@ -7,7 +7,8 @@ leaves at most one bin of a partition half empty, so few bins go up, and the num
 partitions below, whatever the data: a node keeps as many hosts as there are guests.
 
 Documents that stand in an order to be kept (a mix of sources) are packed best-fit decreasing in windows of consecutive
-places; guests and hosts meet at the borders of neighbouring windows, and sequences are numbered in that order.
+places. Of two neighbouring windows one sequence may hold pieces of both: the earlier one's last documents, then any of the
+later one's that fill it. Which documents these are is chosen for all windows together, for the fewest sequences.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paceline.llm.common import file_number, id_and_text, materialize, of_files
+from paceline.llm.common import BROADCAST_IDS, file_number, id_and_text, materialize, of_files
 from paceline.llm.tokens import encoder
 
 #: Pieces that one task packs, and nodes of the tree that meet in one node above.
@@ -31,6 +32,8 @@ LOCAL_ITEMS, FAN_IN = 200_000, 8
 MEMORY = 3
 #: Documents of consecutive places whose pieces share sequences, where an order is kept.
 WINDOW = 4096
+#: Last pieces of a window that may stand in a sequence with the next window's; the number of that sequence in its window.
+LAST, SHARED = 32, (1 << 32) - 1
 
 
 def pieces(docs: DataFrame, tokenizer: str, end_id: int, length: int, place: str | None = None, memory: int = 1) -> DataFrame:
@@ -62,14 +65,17 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, length: int, place: str
     return rows.mapInArrow(run, "doc_id long, piece long, start long, length long, ids_crc32 long" + ", place long" * bool(place))
 
 
-def best_fit(sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Best-fit packing of items in the order given: bin and offset of each item, and the fill of each bin.
+def best_fit(sizes: np.ndarray, length: int, room: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Best-fit packing of items in the order given: bin and offset of each item, and the fill of each bin. room: what is left
+    in a bin that is there already, bin 0; without, there is no such bin.
 
     An item goes to the bin with the least room that still holds it. Open bins stand in stacks by room; the rooms in use
     are kept sorted, so an item costs a search over at most `length` numbers."""
     bins, offsets, fill = np.empty(len(sizes), np.int64), np.empty(len(sizes), np.int64), []
     stacks: dict[int, list[int]] = {}
     rooms: list[int] = []
+    if room:
+        fill, stacks, rooms = [length - room], {room: [0]}, [room]
     for i, size in enumerate(sizes.tolist()):
         k = bisect_left(rooms, size)
         if k < len(rooms):
@@ -196,47 +202,71 @@ def best_fit_but_last(sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.nd
     return bins, at, fill
 
 
+def shared_sequences(totals: list[int], lasts: list[list[int]], length: int) -> tuple[list[int], list[int]]:
+    """For each window, in order, how many of its last pieces stand in the sequence shared with the next window, and the room
+    that it uses in the one shared with the window before (0: none), so that all sequences are as few as sizes alone allow.
+
+    totals: sum of a window's sizes; lasts: its last sizes, from the end. A sequence holds pieces of two windows at most. Of
+    equally good choices it is the one with the fewest windows that have under length // 64 to spare."""
+    tails = [np.array([0, *(x for x in np.cumsum(last[:LAST]).tolist() if x <= length)], np.int64) for last in lasts]
+    cost, room, back = np.zeros(1, np.int64), np.zeros(1, np.int64), []
+    for total, tail in zip(totals, tails, strict=True):
+        rest = total - tail[None, :]
+        own = -(-np.maximum(rest - room[:, None], 0) // length)
+        tight = (own * length + room[:, None] - rest < length // 64) & (rest > 0)
+        each = cost[:, None] + (own + (tail > 0)[None, :] << 32) + tight
+        back.append(each.argmin(0).astype(np.int8))
+        cost, room = each.min(0), np.where(tail > 0, length - tail, 0)
+    counts, rooms, k = [0] * len(tails), [0] * len(tails), int(cost.argmin())
+    for w in range(len(tails) - 1, -1, -1):
+        counts[w], rest = k, totals[w] - int(tails[w][k])
+        k = int(back[w][k])
+        left = length - int(tails[w - 1][k]) if k else 0
+        rooms[w] = left if -(-max(rest - left, 0) // length) < -(-rest // length) else 0
+    return counts, rooms
+
+
 def pack_in_order(docs: DataFrame, tokenizer: str, end_id: int = 2, length: int = 1024, window: int = WINDOW) -> DataFrame:
     """As pack_documents, but a sequence holds pieces of one window of `window` consecutive rows in the order in which docs was
-    written, and sequence_id rises with the windows and, within one, with the first row of a sequence.
+    written, or of two neighbours, and sequence_id rises with the windows and, within one, with the first row of a sequence.
+
+    Two neighbours share one sequence at most, the last of the earlier window: it begins with that window's last pieces, and
+    what it has room for comes from the next window, whichever pieces fit best. shared_sequences chooses these from a row of at
+    most LAST + 1 numbers for each window, on the driver. The pieces of a document of several stand with its first, shorter one
+    last, as that one leaves room."""
+    by_row = [("place", "ascending"), ("piece", "descending")]
 
-    What best fit leaves open in a window meets its neighbours': the last sequence of a window is the host of a guest, the next
-    window's emptiest sequence, if that fits, so that its rows still come after all of the earlier window. Borders behind even
-    windows have the first turn, the others take what is left."""
+    def look(rows: pa.Table) -> pa.Table:
+        sizes = rows.sort_by(by_row)["length"].to_numpy()
+        return pa.table({"window": [rows["place"][0].as_py() // window], "total": [int(sizes.sum())], "last": pa.array([sizes[: -LAST - 1 : -1].tolist()], pa.list_(pa.int64()))})
 
     def run(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by([("place", "ascending"), ("piece", "ascending")])
-        bins, at, fill = best_fit_but_last(rows["length"].to_numpy(), length)
-        first = np.full(len(fill), len(bins), np.int64)
-        np.minimum.at(first, bins, np.arange(len(bins)))
-        number = np.empty(len(fill), np.int64)
-        number[np.argsort(first)] = np.arange(len(fill))
+        rows = rows.sort_by(by_row)
+        sizes, here = rows["length"].to_numpy(), rows["window"][0].as_py()
+        last, room = rows["last"][0].as_py(), rows["room"][0].as_py()
+        own = len(sizes) - last
+        order = np.argsort(-sizes[:own], kind="stable")
+        bins, at = np.empty(len(sizes), np.int64), np.empty(len(sizes), np.int64)
+        bins[order], at[order], fill = best_fit(sizes[order], length, room)
+        bins[own:], at[own:] = len(fill), np.cumsum(sizes[own:]) - sizes[own:]
+        first = np.full(len(fill) + 1, len(sizes), np.int64)
+        np.minimum.at(first, bins, np.arange(len(sizes)))
+        number = np.empty(len(first), np.int64)
+        number[np.argsort(first, kind="stable")] = np.arange(len(first))
+        number += here << 32
+        number[-1] = (here << 32) + SHARED
+        if room:
+            number[0] = (here - 1 << 32) + SHARED
         out = rows.select(["doc_id", "piece", "start", "length", "ids_crc32"])
-        for name, x in (("window", rows["place"].to_numpy() // window), ("number", number[bins]), ("offset", at), ("fill", fill[bins])):
+        for name, x in (("sequence_id", number[bins]), ("offset", at)):
             out = out.append_column(name, pa.array(x, pa.int64()))
         return out
 
-    cut = materialize(pieces(placed(docs), tokenizer, end_id, length, "__place"), "pieces")
-    schema = "doc_id long, piece long, start long, length long, ids_crc32 long, window long, number long, offset long, fill long"
-    packed = materialize(cut.groupBy(F.expr(f"place div {window}").alias("window")).applyInArrow(run, schema), "windows")
-    moves = materialize(_over_borders(packed, length), "borders")
-    out = packed.join(moves, ["window", "number"], "left")
-    at = F.shiftleft(F.coalesce("to_window", "window"), 32) + F.coalesce("to_number", "number")
-    return out.select("doc_id", F.col("piece").cast("int").alias("piece"), "start", "length", "ids_crc32", at.alias("sequence_id"), (F.col("offset") + F.coalesce("shift", F.lit(0))).alias("offset"))
-
-
-def _over_borders(packed: DataFrame, length: int) -> DataFrame:
-    """window, number of each guest, its host's to_window, to_number, and shift, what the host holds."""
-    here = F.struct("number", "fill")
-    ends = packed.groupBy("window").agg(F.max(here).alias("host"), F.min_by(here, F.struct("fill", "number")).alias("guest"))
-    ends = materialize(ends.select("window", "host", "guest"), "ends")  # a row for each window
-    a, b = ends.alias("a"), ends.alias("b")
-    fits = a.join(b, F.col("b.window") == F.col("a.window") + 1).where(F.col("a.host.fill") + F.col("b.guest.fill") <= length).select(
-        F.col("b.window").alias("window"), F.col("b.guest.number").alias("number"), (F.col("b.guest.number") == F.col("b.host.number")).alias("both"),
-        F.col("a.window").alias("to_window"), F.col("a.host.number").alias("to_number"), F.col("a.host.fill").alias("shift"),
-    )
-    even = materialize(fits.where(F.pmod("to_window", F.lit(2)) == 0), "even")
-    moved = even.where("both").select(F.col("window").alias("to_window"))  # hosts that went away as guests
-    hosting = even.select(F.col("to_window").alias("window"), F.col("to_number").alias("number"))  # guests that are hosts by now
-    odd = fits.where(F.pmod("to_window", F.lit(2)) == 1).join(moved, "to_window", "left_anti").join(hosting, ["window", "number"], "left_anti")
-    return even.unionByName(odd).drop("both")
+    cut = materialize(pieces(placed(docs), tokenizer, end_id, length, "__place"), "pieces").withColumn("window", F.expr(f"place div {window}"))
+    rows = cut.select("place", "piece", "length", "window").groupBy("window").applyInArrow(look, "window long, total long, last array<long>").collect()
+    rows.sort(key=lambda r: r.window)
+    plan = list(zip([r.window for r in rows], *shared_sequences([r.total for r in rows], [r.last for r in rows], length), strict=True))
+    chosen = docs.sparkSession.createDataFrame(plan, "window long, last long, room long")
+    chosen = F.broadcast(chosen) if len(plan) <= BROADCAST_IDS else chosen
+    schema = "doc_id long, piece long, start long, length long, ids_crc32 long, sequence_id long, offset long"
+    return cut.join(chosen, "window").groupBy("window").applyInArrow(run, schema).withColumn("piece", F.col("piece").cast("int"))

@@ -1,12 +1,13 @@
 import re
 from collections import Counter
+from itertools import product
 
 import __spark_entry__
 import corpus_pipeline as P
 import numpy as np
 import pytest
 from paceline.llm import secrets
-from paceline.llm.packing import best_fit_but_last, pack_in_order
+from paceline.llm.packing import best_fit_but_last, pack_in_order, shared_sequences
 from paceline.llm.queries import tokenizer_path
 from paceline.llm.toxicity import CATEGORIES, fit, score
 from test_minhash import plain
@@ -84,6 +85,34 @@ def test_open_sequences_of_neighbouring_windows_meet(spark, window, most):
     assert [r.doc_id // window for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset))] == [i // window for i in range(24)]
 
 
+@pytest.mark.parametrize(("words", "window", "most"), [(255, 5, 15), (255, 7, 21), (1279, 5, 78)])
+def test_windows_share_what_they_leave_open(spark, words, window, most):
+    docs = spark.createDataFrame([(i, "a" + " a" * (words - 1)) for i in range(12 * window)], "doc_id long, text string").coalesce(1)
+    rows = pack_in_order(docs, tokenizer_path("byte_bpe_50k.json"), window=window).collect()
+    assert sum(r.length for r in rows) == 12 * window * (words + 1) and check_packing(rows, 1024) == most
+    order = list(dict.fromkeys(r.doc_id for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset))))
+    assert [i // window for i in order] == [i // window for i in range(12 * window)]
+
+
+def test_shared_sequences_are_as_few_as_by_trying_all():
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        sizes = [rng.integers(1, 65, rng.integers(1, 6)).tolist() for _ in range(4)]
+        counts, rooms = shared_sequences([sum(x) for x in sizes], [x[::-1] for x in sizes], 64)
+
+        def cost(picked):
+            n = room = 0
+            for x, k in zip(sizes, picked, strict=True):
+                tail = sum(x[len(x) - k :])
+                if tail > 64:
+                    return 1 << 30
+                n, room = n - (-max(sum(x) - tail - room, 0) // 64) + (k > 0), 64 - tail if k else 0
+            return n
+
+        assert cost(counts) == min(map(cost, product(*[range(len(x) + 1) for x in sizes])))
+        assert all(r == 0 or r == 64 - sum(x[len(x) - k :]) for r, x, k in zip(rooms[1:], sizes, counts, strict=False)) and rooms[0] == 0
+
+
 def test_room_is_in_the_bin_of_the_last_items():
     sizes = np.random.default_rng(0).integers(1, 200, 500)
     bins, at, fill = best_fit_but_last(sizes, 1024)
