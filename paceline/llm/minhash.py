@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paceline.llm.common import claim, id_and_text, materialize, only_ids, spread_join, unused
+from paceline.llm.common import claim, files_for, id_and_text, materialize, only_ids, spread_join, unused
 from paceline.llm.graph import components
 
 #: Bands and minima in each; bits kept of a minimum. A pair of similarity 0.8 shares no band once in 10**7.
@@ -161,10 +161,10 @@ def _long_signatures(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     return texts.mapInArrow(run, "rep long, n_shingles long, " + ", ".join(f"{w} long" for w in words))
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int, files: int) -> DataFrame:
     """The pairs (a, b) of vertices whose full sets have 100 * intersection >= percent * union, a < b. A vertex may be in
-    very many pairs as a; its set is then repeated for several tasks."""
-    pairs = materialize(pairs.select("a", "b"), "pairs")
+    very many pairs as a; its set is then repeated for several tasks. files: of the pairs and of the vertices' ids."""
+    pairs = materialize(pairs.select("a", "b"), "pairs", files)
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,7 +175,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> D
                 found = [shingles(t.as_py(), width).view(np.int64) for t in part.column(1).cast(pa.binary())]
                 yield pa.record_batch([part.column(0), pa.array(found, pa.list_(pa.int64()))], ["v", "s"])
 
-    texts = only_ids(id_and_text(docs), ["doc_id"], materialize(ids, "ids")).select("doc_id", "text")
+    texts = only_ids(id_and_text(docs), ["doc_id"], materialize(ids, "ids", files)).select("doc_id", "text")
     full = materialize(texts.mapInArrow(run, "v long, s array<long>"), "sets")
     both = spread_join(pairs, full.select(F.col("v").alias("a"), F.col("s").alias("sa")), "a")
     both = both.join(full.select(F.col("v").alias("b"), F.col("s").alias("sb")), "b")
@@ -199,26 +199,27 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     sets = sets.select("lo", "hi", "n", F.col("of.doc_id").alias("rep"))
     rows = reps.select("rep", F.posexplode("bands").alias("band", "bucket"))
     shared = rows.groupBy("bucket").agg(F.min("rep").alias("c0"), F.max("rep").alias("c1"), F.count(F.lit(1)).alias("m")).where(F.col("c0") < F.col("c1"))
-    shared = materialize(shared.select("bucket", "m"), "shared")
+    shared = materialize(shared.select("bucket", "m"), "shared", files_for(sets.count()))
+    files = files_for(shared.agg(F.sum("m").alias("m")).first().m or 0)  # of tables with a row for each member of a bucket
     crowds = shared.select("bucket", F.col("m").alias("n"))
-    members = materialize(spread_join(rows, shared, "bucket", counts=crowds).select("bucket", "band", "rep", "m"), "members")
-    central = materialize(members.groupBy("rep").agg(F.sum("m").alias("score")), "central")
+    members = materialize(spread_join(rows, shared, "bucket", counts=crowds).select("bucket", "band", "rep", "m"), "members", files)
+    central = materialize(members.groupBy("rep").agg(F.sum("m").alias("score")), "central", files)
     sketch = reps.select("rep", F.struct(*bits).alias("s"))
-    members = materialize(members.join(central, "rep").select("bucket", "band", "rep", "score"), "scored")
+    members = materialize(members.join(central, "rep").select("bucket", "band", "rep", "score"), "scored", files)
 
     def linked(pivots: DataFrame, others: DataFrame) -> DataFrame:
         """Links between the pivot of each bucket and other members of it, confirmed."""
         pairs = spread_join(others, pivots, "bucket", counts=crowds).where(F.col("rep") != F.col("pivot")).select("pivot", "rep").distinct()
         near = spread_join(pairs, sketch.select(F.col("rep").alias("pivot"), F.col("s").alias("x")), "pivot").join(sketch.select("rep", F.col("s").alias("y")), "rep")
-        return _confirmed(near.where(_may_link("x", "y", percent)).select(F.col("pivot").alias("a"), F.col("rep").alias("b")), docs, width, percent)
+        return _confirmed(near.where(_may_link("x", "y", percent)).select(F.col("pivot").alias("a"), F.col("rep").alias("b")), docs, width, percent, files)
 
     most = F.struct("score", -F.col("rep"))
-    links = materialize(linked(members.groupBy("bucket").agg(F.max_by("rep", most).alias("pivot")), members.select("bucket", "rep")), "links")
+    links = materialize(linked(members.groupBy("bucket").agg(F.max_by("rep", most).alias("pivot")), members.select("bucket", "rep")), "links", files)
     for turn in range(ROUNDS + 1):
         found = components(links)
-        placed = materialize(members.join(found, F.col("rep") == F.col("v"), "left").select("bucket", "band", "rep", "score", F.coalesce("component", "rep").alias("component")), "placed")
+        placed = materialize(members.join(found, F.col("rep") == F.col("v"), "left").select("bucket", "band", "rep", "score", F.coalesce("component", "rep").alias("component")), "placed", files)
         sizes = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("k"))
-        open_ = materialize(sizes.groupBy("bucket").agg(F.sum("k").alias("m"), ((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))) / 2).alias("pairs")).where(F.col("pairs") > 0), "open")
+        open_ = materialize(sizes.groupBy("bucket").agg(F.sum("k").alias("m"), ((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))) / 2).alias("pairs")).where(F.col("pairs") > 0), "open", files)
         left = open_.agg(F.sum("pairs").alias("pairs"), F.sum("m").alias("m")).first()
         if not left.pairs:
             break
@@ -230,7 +231,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
             others = unsettled.join(pivots.select("bucket", "of"), "bucket").where(F.col("component") != F.col("of")).select("bucket", "rep")
             more, last = linked(pivots.select("bucket", "pivot"), others), False
         else:
-            ids = materialize(unsettled.select(F.col("rep").alias("doc_id")).distinct(), "ids")
+            ids = materialize(unsettled.select(F.col("rep").alias("doc_id")).distinct(), "ids", files)
             longer = materialize(_long_signatures(docs, ids, width).dropDuplicates(["rep"]), "longer")
             full = unsettled.select("bucket", "band", "rep", "component").join(longer, "rep").join(reps.select("rep", "bands").dropDuplicates(["rep"]), "rep")
             side = F.struct("band", "rep", "component", "bands", "n_shingles", *[c for c in longer.columns if c.startswith("w")])
@@ -238,10 +239,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
             first = F.when(F.col("x.band") == 0, F.lit(True)).otherwise(~earlier)
             between = (F.col("x.component") < F.col("y.component")) & _may_link("x", "y", percent, LONG) & first
             pairs = spread_join(full.select("bucket", side.alias("x")), full.select("bucket", side.alias("y")), "bucket", counts=crowds).where(between)
-            more, last = _confirmed(pairs.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")), docs, width, percent), True
-        more = materialize(more, "more")
+            more, last = _confirmed(pairs.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")), docs, width, percent, files), True
+        more = materialize(more, "more", files)
         if more.limit(1).count():
-            links = materialize(links.unionByName(more).distinct(), "links")
+            links = materialize(links.unionByName(more).distinct(), "links", files)
             if last:
                 found = components(links)
         if last:

@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pytest
 
-from paceline.llm import graph, minhash
+from paceline.llm import common, graph, minhash
 
 
 def plain_sets(rows, width):
@@ -105,3 +105,28 @@ def test_components(spark):
     found = {r.v: r.component for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert found == {v: root(v) for e in edges if e[0] != e[1] for v in e}
     assert graph.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_small_tables_are_a_file_each(spark, documents, monkeypatch):
+    written = []
+
+    def recorded(df, label, *files):
+        out = common.materialize(df, label, *files)
+        written.append((label, len(out.inputFiles())))
+        return out
+
+    for module in (graph, minhash):
+        monkeypatch.setattr(module, "materialize", recorded)
+    several = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "7"}
+    before = {k: spark.conf.get(k) for k in several}
+    try:
+        for k, v in several.items():
+            spark.conf.set(k, v)
+        found = minhash.near_duplicates(documents, 4).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(map(tuple, found)) == sorted(plain([(r.doc_id, r.text) for r in documents.collect()], 4, 80))
+    small = {"shared", "members", "central", "scored", "pairs", "links", "placed", "open", "hooks", "roots", "contracted"}
+    assert small <= {label for label, _ in written}
+    assert max(n for label, n in written if label in small) == 1
