@@ -31,6 +31,8 @@ MAGIC, TRAILER, BLOCK = b"PLBP", struct.Struct("<4sIIIQQ"), 4096
 NULL_ID = -(1 << 63)
 #: Tasks that read files at once, at most; more files than that share tasks.
 READERS = 10_000
+#: Times the usual limits of the tokenizer's memos.
+MEMORY = 2
 
 
 def pack(ids: np.ndarray, bits: int) -> np.ndarray:
@@ -77,11 +79,10 @@ class ShardWriter:
 
     def _flush(self, n: int) -> None:
         ids = np.concatenate(self.rest) if self.rest else np.zeros(0, np.uint32)
-        for lo in range(0, n, self.block):
-            packed = pack(ids[lo : lo + self.block], self.bits).astype("<u8").tobytes()
-            self.blocks.append(self.at)
-            self.at += len(packed)
-            self.sink.write(packed)
+        packed = pack(ids[:n], self.bits).astype("<u8", copy=False)  # blocks are whole words, so all of them are packed at once
+        self.blocks += range(self.at, self.at + packed.nbytes, self.block * self.bits // 8)
+        self.at += packed.nbytes
+        self.sink.write(packed.tobytes())
         self.rest, self.held = [ids[n:]], len(ids) - n
 
     def close(self) -> None:
@@ -147,7 +148,7 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, label: str = "ids
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode = encoder(tokenizer)
+        encode = encoder(tokenizer, MEMORY)
         bits = max(1, (max(encode.size, end_id + 1) - 1).bit_length())
         shard = TaskContext.get().partitionId()
         fs, root = pafs.FileSystem.from_uri(folder)

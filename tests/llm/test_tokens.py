@@ -55,6 +55,19 @@ def test_shard_random_access():
     assert abs(len(sink.getvalue()) - 2 * len(whole)) < 0.15 * len(whole)
 
 
+def test_blocks_of_a_flush_are_packed_at_once(monkeypatch):
+    sizes, pack, sink = [], bitpack.pack, io.BytesIO()
+    monkeypatch.setattr(bitpack, "pack", lambda ids, bits: sizes.append(len(ids)) or pack(ids, bits))
+    ids = np.random.default_rng(4).integers(0, 50_000, 100_000, dtype=np.uint32)
+    writer = bitpack.ShardWriter(sink, 16, 64)
+    for lo in range(0, len(ids), 1000):
+        writer.add(lo, ids[lo : lo + 1000])
+    writer.close()
+    assert len(sizes) < 30 and sum(sizes) == -(-len(ids) // 64) * 64
+    reader = bitpack.ShardReader(io.BytesIO(sink.getvalue()))
+    assert np.array_equal(reader.read(0, len(ids)), ids) and reader.blocks.tolist() == [128 * k for k in range(-(-len(ids) // 64))]
+
+
 def test_written_and_read_again(documents, odd):
     for docs in (documents, odd, odd.limit(0)):
         got = bitpack.read_shards(bitpack.write_shards(docs, FILES[0], 2)).collect()
