@@ -19,10 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paceline.llm.common import claim, hashed_sample, id_and_text, materialize
+from paceline.llm.common import claim, give_back, hashed_sample, id_and_text, materialize
 
 #: Labelled rows that the chain is fitted on, at most: those of the least hashes of doc_id. Features for each category.
 SAMPLE, FEATURES, FOLDS, STEPS, RIDGE = 8000, 600, 3, 200, 0.3
+#: Places by hash for the features of the sample, a byte each, twice.
+SLOTS = 1 << 22
 #: Lengths of the word beginnings that count as features, besides whole words.
 BEGINNINGS = (4, 5, 6)
 #: A document is rejected from this probability of the last category on.
@@ -40,11 +42,17 @@ def features_of_word(word: str) -> list[str]:
 
 
 class Numbered:
-    """Features as numbers, given out as they are met; a word's features are worked out once."""
+    """Features as numbers, given out as they are met; a word's features are worked out once. `texts`: only features that may
+    occur in several of them get a number, as no other can tell anything; most words are in one text, and are not held."""
 
-    def __init__(self):
+    def __init__(self, texts: list[str]):
         self.numbers: dict[str, int] = {}
         self.words: dict[str, tuple[int, ...]] = {}
+        once, self.several = np.zeros(SLOTS, bool), np.zeros(SLOTS, bool)  # by hash; of features that share one, all stay
+        for text in texts:
+            at = np.fromiter({hash(f) % SLOTS for w in words_of(text) for f in features_of_word(w)}, np.int64)
+            self.several[at[once[at]]] = True
+            once[at] = True
 
     def __call__(self, text: str) -> np.ndarray:
         """The features of a text, ascending."""
@@ -52,7 +60,10 @@ class Numbered:
         for w in words_of(text):
             of = self.words.get(w)
             if of is None:
-                of = self.words[w] = tuple([self.numbers.setdefault(f, len(self.numbers)) for f in features_of_word(w)])
+                named = features_of_word(w)
+                of = tuple([self.numbers.setdefault(f, len(self.numbers)) for f in named if self.several[hash(f) % SLOTS]])
+                if self.several[hash(named[0]) % SLOTS]:
+                    self.words[w] = of
             found.update(of)
         return np.array(sorted(found), np.int32)
 
@@ -153,8 +164,9 @@ def _telling(found: list[np.ndarray], names: list[str], y: np.ndarray, n: int) -
     total, ones = len(y), int(y.sum())
     if not names or not 0 < ones < total:
         return []
-    count = lambda k: np.bincount(np.concatenate([f for f, v in zip(found, y, strict=True) if v == k]), minlength=len(names)).astype(float)
-    a, b = count(1), count(0)
+    a, b = np.zeros(len(names)), np.zeros(len(names))
+    for f, v in zip(found, y, strict=True):
+        (a if v else b)[f] += 1  # a text has a feature once
     seen, share = a + b, ones / total
 
     def part(k: np.ndarray, p: float) -> np.ndarray:
@@ -167,9 +179,10 @@ def _telling(found: list[np.ndarray], names: list[str], y: np.ndarray, n: int) -
 
 def fit_chain(texts: list[str], labels: dict[str, np.ndarray], features: int = FEATURES, folds: int = FOLDS, steps: int = STEPS, ridge: float = RIDGE) -> Chain:
     """labels: 0 and 1 of each category, in the chain's order. Without rows every probability is nearly 0."""
-    numbered = Numbered()
+    numbered = Numbered(texts)
     found = [numbered(t) for t in texts]
     listed = list(numbered.numbers)
+    del numbered
 
     def chosen(rows: np.ndarray) -> tuple[list[str], np.ndarray]:
         """The features that tell most about any category within these rows, and the place of each feature among them."""
@@ -179,7 +192,8 @@ def fit_chain(texts: list[str], labels: dict[str, np.ndarray], features: int = F
         return names, np.array([at.get(f, -1) for f in listed], np.int64)
 
     def of_rows(rows: np.ndarray, place: np.ndarray) -> Rows:
-        return chain.rows([sorted(i for i in place[found[r]].tolist() if i >= 0) for r in rows])
+        kept = [np.sort(p[p >= 0]) for p in (place[found[r]] for r in rows)]
+        return Rows(np.concatenate(kept), np.concatenate([[0], np.cumsum([len(p) for p in kept])]).astype(np.int64))
 
     every = np.arange(len(texts))
     names, place = chosen(every)
@@ -194,7 +208,7 @@ def fit_chain(texts: list[str], labels: dict[str, np.ndarray], features: int = F
         if len(learn) and len(held):
             own, at = chosen(learn)
             splits.append((learn, held, len(own), of_rows(learn, at), of_rows(held, at)))
-    del numbered, found, listed
+    del found, listed
     out_of_fold = np.zeros((len(texts), 0))
     for y in labels.values():
         y = y.astype(float)
@@ -219,7 +233,12 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, str], sample:
     rows = texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).collect()  # at most `sample`
     rows.sort(key=lambda r: (r["__h"], r.doc_id))
     y = {c: np.array([r[f"__c{k}"] for r in rows], np.int64) for k, c in enumerate(categories)}
-    return fit_chain([r.text for r in rows], y)
+    texts = [r.text for r in rows]
+    del rows
+    chain = fit_chain(texts, y)
+    del texts
+    give_back()
+    return chain
 
 
 #: The chain's categories, from the table of labels: junk first, as what tells junk apart then helps with toxic texts.

@@ -1,3 +1,4 @@
+import gc
 import re
 from collections import Counter
 from itertools import product
@@ -77,6 +78,21 @@ def test_sequences_follow_the_mix(spark):
         assert [least[k] for k in sorted(least)] == sorted(least.values())
 
 
+@pytest.mark.parametrize("name", [n for n, _ in P.STAGES if n != "toxicity"])
+def test_stages_begin_with_the_heap_given_back(spark, documents, monkeypatch, name):
+    gateway = spark.sparkContext._gateway
+    runtime = gateway.jvm.java.lang.Runtime.getRuntime()
+    for inner in ("keep_one", "redact", "tempered", "pack_in_order"):
+        monkeypatch.setattr(P, inner, lambda docs, *_, **__: docs)
+    monkeypatch.setattr(P, "arranged", lambda docs, _: docs)
+    held = [gateway.new_array(gateway.jvm.byte, 20_000_000) for _ in range(60)]
+    grown = runtime.totalMemory()
+    del held
+    gc.collect()
+    dict(P.STAGES)[name](spark, documents, SF)
+    assert runtime.totalMemory() < grown
+
+
 @pytest.mark.parametrize(("window", "most"), [(2, 6), (3, 4), (40, 1)])
 def test_open_sequences_of_neighbouring_windows_meet(spark, window, most):
     docs = spark.createDataFrame([(i, f"word {i}") for i in range(24)], "doc_id long, text string").coalesce(1)

@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 
 from paceline.llm import toxicity as T
@@ -28,6 +30,17 @@ def test_later_models_learn_from_earlier_ones():
     assert (p[0] > 0.8).all() and (p[1] < 0.2).all() and p.shape == (3, 2)
 
 
+def test_words_of_one_text_take_no_memory():
+    letters = np.random.default_rng(3).integers(97, 123, (400, 250, 12), np.uint8)
+    texts = [("rude " if i % 2 else "kind ") + " ".join(w.tobytes().decode() for w in own) for i, own in enumerate(letters)]
+    tracemalloc.start()
+    chain = T.fit_chain(texts, {"rude": np.arange(400) % 2})
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6  # 100,000 words
+    assert {"=rude", "=kind"} <= set(chain.vocabulary)
+
+
 def newton(dense, y, ridge):
     """Ridge logistic regression, the last column (the constant) without a penalty."""
     w, penalty = np.zeros(dense.shape[1]), np.append(np.full(dense.shape[1] - 1, ridge), 0)
