@@ -1,5 +1,6 @@
 import gc
 import re
+import time
 from collections import Counter
 from itertools import product
 
@@ -85,10 +86,11 @@ def test_stages_begin_with_the_heap_given_back(spark, documents, monkeypatch, na
     for inner in ("keep_one", "redact", "tempered", "pack_in_order"):
         monkeypatch.setattr(P, inner, lambda docs, *_, **__: docs)
     monkeypatch.setattr(P, "arranged", lambda docs, _: docs)
-    held = [gateway.new_array(gateway.jvm.byte, 20_000_000) for _ in range(60)]
+    held = [gateway.new_array(gateway.jvm.long, 2_500_000) for _ in range(60)]
     grown = runtime.totalMemory()
     del held
     gc.collect()
+    time.sleep(3)  # a thread of py4j's lets the arrays go
     dict(P.STAGES)[name](spark, documents, SF)
     assert runtime.totalMemory() < grown
 
